@@ -44,7 +44,7 @@ def kinds(table) -> dict[str, str]:
 def difference(df, con, sql: str) -> str | None:
     """None when schema, rows and values agree, else a short account."""
     got = df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     if kinds(got) != kinds(want):
         return f"schema {sorted(set(kinds(got).items()) ^ set(kinds(want).items()))}"
     if got.num_rows != want.num_rows:

@@ -65,7 +65,8 @@ def rejected(spark: SparkSession, d: str) -> DataFrame:
 
 # -- sources -----------------------------------------------------------------------------------
 
-_PANEL_NAMES = ", ".join(f'"{f[0]}"' for f in PANEL_FIELDS)
+# In a file an empty field and a missing one are the same and land as NULL.
+_PANEL_NAMES = ", ".join(f"""nullif("{f[0]}", '') AS "{f[0]}\"""" for f in PANEL_FIELDS)
 # Headers as they come in real files: outer and doubled inner blanks.
 RAW_HEADERS = {
     "BMI": " BMI ",
@@ -114,7 +115,7 @@ def ingest_bad_records(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""SELECT "Entity" || ', Rep.' AS "Entity", "Code", "Year", "{BEDS}" FROM capacity_raw_c""")
+@query(f"""SELECT "Entity" || ', Rep.' AS "Entity", nullif("Code", '') AS "Code", "Year", "{BEDS}" FROM capacity_raw_c""")
 def ingest_wide_csv(spark: SparkSession, d: str) -> DataFrame:
     """Every field quoted, commas inside names, a trailing comma, CRLF line ends."""
     years = [str(year) for year in star.ORDER_YEARS]

@@ -31,7 +31,8 @@ def read_delimited(
     """Text columns bound by position, so that stray blanks in header names do not matter.
 
     A row with too few or too many fields keeps its whole text in ``_corrupt_record``, which is
-    NULL for a good row. ``trailing_separator`` accepts files that end every row with one.
+    NULL for a good row. An empty field is NULL. ``trailing_separator`` accepts files that end every
+    row with one.
     """
     names = [*columns, TRAILING] if trailing_separator else list(columns)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
@@ -45,6 +46,8 @@ def read_delimited(
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # With pruning, a query that leaves columns out would no longer notice malformed rows.
+        .option("columnPruning", False)
         .csv(path)
     )
     return frame.select(*columns, CORRUPT, F.col("_metadata.file_name").alias("_src_file"))
