@@ -15,7 +15,8 @@ from tierlake.functions.casts import ISO_DATE, is_blank, safe_cast, trimmed
 Predicate = Callable[["Contract"], Column]
 Snapshot = tuple[tuple[str, str | None], ...]
 
-INGEST_ORDER = ("_ingested_at", "_ordinal")
+# All rows of a full refresh carry one ingest time; the stored ordinal tells them apart.
+INGEST_ORDER = ("_ordinal",)
 
 
 @dataclass(frozen=True)

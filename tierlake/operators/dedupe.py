@@ -34,16 +34,18 @@ def flag_first(
 ) -> DataFrame:
     """Add one boolean per subset: is this row the first of its key among the rows of the subset?
 
-    ``order`` must identify a row within its key. Rows outside a subset get false.
+    ``order`` must identify a row within its key. Rows outside a subset get false. With one numeric
+    order column, such as the ordinal stored at ingest, the aggregate hashes instead of sorting.
     """
     names = [f"_key{i}" for i in range(len(keys))]
     keyed = df.withColumns(dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()})
-    position = F.struct(*order)
+    position = F.struct(*order) if len(order) > 1 else F.col(order[0])
     firsts = (
         keyed.filter(" OR ".join(f"_in_{s}" for s in subsets))
         .groupBy(*names)
         .agg(*[F.min(F.when(F.col(f"_in_{s}"), position)).alias(f"_min_{s}") for s in subsets])
     )
+    parts = ["_mark.at.*"] if len(order) > 1 else [F.col("_mark.at").alias(order[0])]
     # One row per distinct first position of a key, with the subsets it is the first of.
     marks = [
         F.struct(
@@ -55,10 +57,11 @@ def flag_first(
     spots = (
         firsts.select(*names, F.explode(F.array_distinct(F.array(*marks))).alias("_mark"))
         .filter("_mark.at IS NOT NULL")
-        .select(*names, "_mark.at.*", *[F.col(f"_mark.{s}").alias(s) for s in subsets])
+        .select(*names, *parts, *[F.col(f"_mark.{s}").alias(s) for s in subsets])
     )
     return (
-        keyed.join(spots, [*names, *order], "left")
+        # Order columns first: they differ, so that comparing rows seldom goes on to the key texts.
+        keyed.join(spots, [*order, *names], "left")
         .withColumns({s: F.coalesce(F.col(s), F.lit(False)) & F.col(f"_in_{s}") for s in subsets})
         .drop(*names)
     )
