@@ -8,11 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, functions as F
+from tierlake.functions.casts import ISO_DATE, blank_sql, cast_sql, present_sql, quoted, trimmed_sql
 
-from tierlake.functions.casts import ISO_DATE, is_blank, safe_cast, trimmed
-
-Predicate = Callable[["Contract"], Column]
+# Spark SQL text of a condition, given the contract with its options.
+Predicate = Callable[["Contract"], str]
 Snapshot = tuple[tuple[str, str | None], ...]
 
 # All rows of a full refresh carry one ingest time; the stored ordinal tells them apart.
@@ -86,38 +85,46 @@ class Contract:
     def field_of(self, source: str) -> Field:
         return next(f for f in self.fields if f.source == source)
 
-    def value(self, source: str) -> Column:
+    def value(self, source: str) -> str:
         """Typed value of a raw column."""
         f = self.field_of(source)
-        cast = safe_cast(f.source, f.dtype, self.blank, f.null_as_blank, self.date_formats)
-        return F.upper(cast) if f.upper else cast
+        cast = cast_sql(f.source, f.dtype, self.blank, f.null_as_blank, self.date_formats)
+        return f"upper({cast})" if f.upper else cast
 
-    def in_range(self, source: str) -> Column:
+    def in_range(self, source: str) -> str:
         low, high = self.ranges[source]
-        return F.coalesce(self.value(source).between(low, high), F.lit(False))
+        return f"coalesce({self.value(source)} BETWEEN {low} AND {high}, false)"
 
-    def parses(self, source: str) -> Column:
-        return self.value(source).isNotNull()
+    def parses(self, source: str) -> str:
+        return f"({self.value(source)} IS NOT NULL)"
 
-    def key_columns(self) -> list[Column]:
+    def key_columns(self) -> list[str]:
         """Normalised de-duplication key, never NULL."""
         if self.match == "typed":
-            return [F.coalesce(self.value(name).cast("string"), F.lit("")) for name in self.key]
+            return [f"coalesce(CAST({self.value(name)} AS STRING), '')" for name in self.key]
         if self.match == "ci":
-            return [F.lower(trimmed(name)) for name in self.key]
+            return [f"lower({trimmed_sql(name)})" for name in self.key]
         if self.match == "exact":
-            return [trimmed(name) for name in self.key]
+            return [trimmed_sql(name) for name in self.key]
         raise ValueError(f"match must be 'exact', 'ci' or 'typed', not {self.match!r}")
 
-    def silver_columns(self) -> list[Column]:
-        return [self.value(f.source).alias(f.target) for f in self.fields]
+    def silver_columns(self) -> list[str]:
+        return [f"{self.value(f.source)} AS {quoted(f.target)}" for f in self.fields]
 
     def with_options(self, **changes) -> "Contract":
         return replace(self, **changes)
 
 
-def present(source: str) -> Column:
-    return ~is_blank(source)
+def every(*conditions: str) -> str:
+    return "(" + " AND ".join(conditions) + ")"
+
+
+def some(*conditions: str) -> str:
+    return "(" + " OR ".join(conditions) + ")"
+
+
+def no(condition: str) -> str:
+    return f"(NOT {condition})"
 
 
 # ---------------------------------------------------------------------------------------------
@@ -223,8 +230,8 @@ def _reason(name: str, variant: str) -> str:
 def panel_contract(variant: str = "full", years: tuple[int, int] = PANEL_YEARS, **options) -> Contract:
     """Entity and year indicators."""
 
-    def usable(c: Contract) -> Column:
-        return present("Country") & c.in_range("Year")
+    def usable(c: Contract) -> str:
+        return every(present_sql("Country"), c.in_range("Year"))
 
     keys: Snapshot = (("Country", "Country"), ("Year", "Year"))
     # The full load reads a missing metric as '', the demo load only a missing BMI.
@@ -243,17 +250,17 @@ def panel_contract(variant: str = "full", years: tuple[int, int] = PANEL_YEARS,
         silver_key=("country_name", "year"),
         silver_key_enforced=variant == "full",
         rules=(
-            Rule("QG-001", _reason("panel country", variant), lambda c: is_blank("Country"), keys),
+            Rule("QG-001", _reason("panel country", variant), lambda c: blank_sql("Country"), keys),
             Rule(
                 "QG-001",
                 _reason("panel year missing", variant),
-                lambda c: present("Country") & is_blank("Year"),
+                lambda c: every(present_sql("Country"), blank_sql("Year")),
                 (("Country", "Country"), ("Year", None)),
             ),
             Rule(
                 "QG-002",
                 _reason("panel year range", variant),
-                lambda c: present("Country") & present("Year") & ~c.in_range("Year"),
+                lambda c: every(present_sql("Country"), present_sql("Year"), no(c.in_range("Year"))),
                 keys,
             ),
         ),
@@ -269,11 +276,11 @@ def panel_contract(variant: str = "full", years: tuple[int, int] = PANEL_YEARS,
 def outbreak_contract(variant: str = "full", **options) -> Contract:
     """Entity, province and date counts."""
 
-    def dated(c: Contract) -> Column:
-        return present("Country/Region") & c.parses("Date")
+    def dated(c: Contract) -> str:
+        return every(present_sql("Country/Region"), c.parses("Date"))
 
-    def counted(c: Contract) -> Column:
-        return c.parses("Confirmed") & c.parses("Deaths")
+    def counted(c: Contract) -> str:
+        return every(c.parses("Confirmed"), c.parses("Deaths"))
 
     place: Snapshot = (("Country/Region", "Country/Region"), ("Date", "Date"))
     province = (("Province", "Province/State"),) if variant == "full" else ()
@@ -294,19 +301,19 @@ def outbreak_contract(variant: str = "full", **options) -> Contract:
             Rule(
                 "QG-001",
                 _reason("outbreak country", variant),
-                lambda c: is_blank("Country/Region"),
+                lambda c: blank_sql("Country/Region"),
                 place,
             ),
             Rule(
                 "QG-002",
                 _reason("outbreak date", variant),
-                lambda c: present("Country/Region") & ~c.parses("Date"),
+                lambda c: every(present_sql("Country/Region"), no(c.parses("Date"))),
                 place,
             ),
             Rule(
                 "QG-005",
                 _reason("outbreak counts", variant),
-                lambda c: dated(c) & ~counted(c) & (present("Confirmed") | present("Deaths")),
+                lambda c: every(dated(c), no(counted(c)), some(present_sql("Confirmed"), present_sql("Deaths"))),
                 (("Country", "Country/Region"), ("Confirmed", "Confirmed"), ("Deaths", "Deaths")),
             ),
         ),
@@ -317,7 +324,7 @@ def outbreak_contract(variant: str = "full", **options) -> Contract:
             _reason("outbreak duplicate", variant),
             (("Country", "Country/Region"), *province, ("Date", "Date")),
             dated,
-            lambda c: dated(c) & counted(c),
+            lambda c: every(dated(c), counted(c)),
         ),
         entity="Country/Region",
         period="Date",
@@ -334,21 +341,21 @@ def capacity_contract(
 ) -> Contract:
     """Entity, code and year capacity. ``known_code`` names a boolean column that must also hold."""
 
-    def coded(c: Contract) -> Column:
-        code = F.length(trimmed("Code")) == CAPACITY_CODE_LENGTH
-        return code & F.col(known_code) if known_code else code
+    def coded(c: Contract) -> str:
+        code = f"(length({trimmed_sql('Code')}) = {CAPACITY_CODE_LENGTH})"
+        return every(code, quoted(known_code)) if known_code else code
 
-    def usable(c: Contract) -> Column:
-        return present("Entity") & coded(c) & c.in_range("Year") & c.parses(BEDS)
+    def usable(c: Contract) -> str:
+        return every(ranked(c), c.parses(BEDS))
 
-    def ranked(c: Contract) -> Column:
-        return present("Entity") & coded(c) & c.in_range("Year")
+    def ranked(c: Contract) -> str:
+        return every(present_sql("Entity"), coded(c), c.in_range("Year"))
 
     keys: Snapshot = (("Entity", "Entity"), ("Code", "Code"))
     year_rule = Rule(
         "QG-002",
         REASONS["capacity year"],
-        lambda c: present("Entity") & coded(c) & ~c.in_range("Year"),
+        lambda c: every(present_sql("Entity"), coded(c), no(c.in_range("Year"))),
         (("Entity", "Entity"), ("Year", "Year")),
     )
     return Contract(
@@ -367,13 +374,13 @@ def capacity_contract(
             Rule(
                 "QG-001",
                 _reason("capacity keys", variant),
-                lambda c: is_blank("Entity") | is_blank("Code"),
+                lambda c: some(blank_sql("Entity"), blank_sql("Code")),
                 keys,
             ),
             Rule(
                 "QG-004",
                 _reason("capacity code", variant),
-                lambda c: present("Entity") & present("Code") & ~coded(c),
+                lambda c: every(present_sql("Entity"), present_sql("Code"), no(coded(c))),
                 keys,
             ),
             *((year_rule,) if variant == "full" else ()),

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tierlake.functions.casts import column
+from tierlake.functions.casts import literal, quoted
 
 
-def match_key(value: str | Column) -> Column:
+def match_key(name: str) -> Column:
     """Key for joins on names: case and outer blanks do not matter."""
-    return F.lower(F.trim(column(value)))
+    return F.lower(F.trim(F.col(name)))
 
 
-def null_proof(value: str | Column) -> Column:
+def null_proof(name: str) -> Column:
     """Text key where NULL equals NULL and differs from ''."""
-    return F.coalesce(F.concat(F.lit("="), column(value).cast("string")), F.lit(""))
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
 
 
 def key_hash(columns: list[str], charset: str = "UTF-16LE") -> Column:
@@ -23,11 +23,14 @@ def key_hash(columns: list[str], charset: str = "UTF-16LE") -> Column:
     return F.upper(F.sha2(F.encode(F.concat_ws("|", *parts), charset), 256))
 
 
-def snapshot(fields: tuple[tuple[str, str | None], ...]) -> Column:
+def snapshot_sql(fields: tuple[tuple[str, str | None], ...]) -> str:
     """``Label=[value] | Label=[value]``; a field without a column, or with NULL, shows as NULL."""
-    pieces: list[Column] = []
+    pieces: list[str] = []
     for position, (label, name) in enumerate(fields):
-        lead = f"{label}=[" if position == 0 else f"] | {label}=["
-        pieces.append(F.lit(lead))
-        pieces.append(F.lit("NULL") if name is None else F.coalesce(F.col(name), F.lit("NULL")))
-    return F.concat(*pieces, F.lit("]"))
+        pieces.append(literal(f"{label}=[" if position == 0 else f"] | {label}=["))
+        pieces.append("'NULL'" if name is None else f"coalesce({quoted(name)}, 'NULL')")
+    return f"concat({', '.join(pieces)}, ']')"
+
+
+def snapshot(fields: tuple[tuple[str, str | None], ...]) -> Column:
+    return F.expr(snapshot_sql(fields))

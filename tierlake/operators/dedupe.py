@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first by ``order``. The rank filter runs before and after the shuffle."""
-    window = Window.partitionBy(*keys).orderBy(*order)
+    """One row per key: the first by ``order``. The rank filter runs before and after the shuffle.
+
+    A hash leads the key, so that the sort compares numbers rather than texts with equal beginnings.
+    """
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
@@ -39,10 +42,11 @@ def flag_first(
     """
     names = [f"_key{i}" for i in range(len(keys))]
     keyed = df.withColumns(dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()})
+    hashed = F.xxhash64(*names).alias("_hash")
     position = F.struct(*order) if len(order) > 1 else F.col(order[0])
     firsts = (
         keyed.filter(" OR ".join(f"_in_{s}" for s in subsets))
-        .groupBy(*names)
+        .groupBy(hashed, *names)
         .agg(*[F.min(F.when(F.col(f"_in_{s}"), position)).alias(f"_min_{s}") for s in subsets])
     )
     parts = ["_mark.at.*"] if len(order) > 1 else [F.col("_mark.at").alias(order[0])]

@@ -5,31 +5,31 @@ Gates may overlap, so a row carries an array of failures rather than one code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tierlake.contracts import Contract
-from tierlake.functions.casts import trimmed
-from tierlake.functions.keys import snapshot
+from tierlake.functions.casts import literal, trimmed
+from tierlake.functions.keys import snapshot_sql
 from tierlake.operators.dedupe import flag_first, keep_first
 
 UNACCOUNTED_CODE = "QG-006"
 UNACCOUNTED_REASON = "Row passes every gate but cannot be loaded"
 
 
-def _failure(code: str, reason: str, text: Column) -> Column:
-    return F.struct(F.lit(code).alias("code"), F.lit(reason).alias("reason"), text.alias("snapshot"))
+def _failure(code: str, reason: str, text: str) -> str:
+    return f"named_struct('code', {literal(code)}, 'reason', {literal(reason)}, 'snapshot', {text})"
 
 
-def _failures(contract: Contract) -> list[Column]:
+def _failures(contract: Contract) -> list[str]:
     return [
-        F.when(rule.fails(contract), _failure(rule.code, rule.reason, snapshot(rule.snapshot)))
+        f"CASE WHEN {rule.fails(contract)} THEN {_failure(rule.code, rule.reason, snapshot_sql(rule.snapshot))} END"
         for rule in contract.rules
     ]
 
 
 def assess(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Narrow pass: adds ``_failed``, the failures of all rules that look at one row alone."""
-    return bronze.withColumn("_failed", F.array_compact(F.array(*_failures(contract))))
+    return bronze.withColumn("_failed", F.expr(f"array_compact(array({', '.join(_failures(contract))}))"))
 
 
 def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = False) -> DataFrame:
@@ -37,21 +37,18 @@ def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = F
     gate = contract.duplicates
     flagged = flag_first(
         bronze,
-        contract.key_columns(),
+        [F.expr(key) for key in contract.key_columns()],
         contract.order,
-        {"_first": gate.ranked(contract), "_load": gate.loaded(contract)},
+        {"_first": F.expr(gate.ranked(contract)), "_load": F.expr(gate.loaded(contract))},
     )
-    repeated = F.when(
-        F.col("_in__first") & ~F.col("_first"), _failure(gate.code, gate.reason, snapshot(gate.snapshot))
-    )
-    failed = F.array_compact(F.array(*_failures(contract), repeated))
-    result = flagged.withColumn("_failed", failed)
+    repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot))
+    failures = [*_failures(contract), f"CASE WHEN _in__first AND NOT _first THEN {repeated} END"]
+    failed = f"array_compact(array({', '.join(failures)}))"
     if report_unaccounted:
-        everything = snapshot(tuple((name, name) for name in contract.source_columns))
-        lost = (F.size("_failed") == 0) & ~F.col("_in__load")
-        missing = F.array(_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything))
-        result = result.withColumn("_failed", F.when(lost, missing).otherwise(F.col("_failed")))
-    return result.drop("_in__first", "_in__load", "_first")
+        everything = snapshot_sql(tuple((name, name) for name in contract.source_columns))
+        missing = f"CASE WHEN NOT _in__load THEN {_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything)} END"
+        failed = f"CASE WHEN size({failed}) > 0 THEN {failed} ELSE array_compact(array({missing})) END"
+    return flagged.withColumn("_failed", F.expr(failed)).drop("_in__first", "_in__load", "_first")
 
 
 def rejects(gated: DataFrame, contract: Contract, keep_row: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -74,13 +71,14 @@ def rejects(gated: DataFrame, contract: Contract, keep_row: bool = False, extra:
 
 def loaded(gated: DataFrame, contract: Contract) -> DataFrame:
     """Typed silver rows of an evaluated frame."""
-    return gated.filter("_load").select(*contract.silver_columns())
+    return gated.filter("_load").selectExpr(*contract.silver_columns())
 
 
 def silver(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Typed silver rows straight from bronze, when the rejects are not wanted: one shuffle."""
     usable = bronze.filter(contract.duplicates.loaded(contract))
-    return keep_first(usable, contract.key_columns(), list(contract.order)).select(*contract.silver_columns())
+    keys = [F.expr(key) for key in contract.key_columns()]
+    return keep_first(usable, keys, list(contract.order)).selectExpr(*contract.silver_columns())
 
 
 def mark_known(bronze: DataFrame, column: str, codes: DataFrame, name: str = "_known") -> DataFrame:

@@ -59,7 +59,7 @@ def bronze_key_checks(panel: DataFrame, outbreak: DataFrame, capacity: DataFrame
     panel_issues = {"DS1 - empty Country": is_blank("Country"), "DS1 - empty Year": is_blank("Year")}
     outbreak_issues = {
         "DS2 - empty Country/Region": is_blank("Country/Region"),
-        "DS2 - unparseable Date": ~outbreak_contract.parses("Date"),
+        "DS2 - unparseable Date": F.expr(f"NOT {outbreak_contract.parses('Date')}"),
     }
     capacity_issues = {"DS3 - empty Code": is_blank("Code")}
     repeated = "DS1 - duplicate Country+Year"

@@ -236,9 +236,6 @@ def unpivot_wide(spark: SparkSession, d: str) -> DataFrame:
 
 # -- casts -------------------------------------------------------------------------------------
 
-_RAW_CASTS = ("Year", "Life expectancy", "infant deaths", "Population", "GDP", "Hepatitis B")
-
-
 @query(
     f"""SELECT o_orderkey, {x.whole('"Year"', "SMALLINT")} AS year, {x.number('"Life expectancy"')} AS life,
                {x.whole('"Life expectancy"', "INTEGER")} AS life_as_int,
@@ -250,7 +247,8 @@ _RAW_CASTS = ("Year", "Life expectancy", "infant deaths", "Population", "GDP", "
 )
 def safe_casts(spark: SparkSession, d: str) -> DataFrame:
     """Good and bad text to every type, in both blank modes."""
-    return star.panel_bronze(spark, d).select(
+    rows = star.panel_bronze(spark, d).withColumn("day", F.col("o_orderdate").cast("date").cast("string"))
+    return rows.select(
         "o_orderkey",
         safe_cast("Year", "smallint").alias("year"),
         safe_cast("Life expectancy", "double").alias("life"),
@@ -260,7 +258,7 @@ def safe_casts(spark: SparkSession, d: str) -> DataFrame:
         safe_cast("GDP", "double").alias("gdp"),
         safe_cast("Hepatitis B", "double", blank="zero", null_as_blank=True).alias("hepatitis_zero"),
         safe_cast("Country", "date").alias("no_date"),
-        safe_cast(F.col("o_orderdate").cast("date").cast("string"), "date").alias("order_day"),
+        safe_cast("day", "date").alias("order_day"),
     )
 
 

@@ -7,19 +7,18 @@ that every gate has rows to reject. Keys are nation names (few, heavily repeated
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierlake.contracts import (
     BEDS,
     CAPACITY_FIELDS,
-    OUTBREAK_FIELDS,
-    PANEL_FIELDS,
     WIDE_IDS,
     Contract,
     capacity_contract,
     outbreak_contract,
     panel_contract,
 )
+from tierlake.functions.casts import quoted
 from tierlake.sources.delimited import wide_to_long
 
 PANEL_ORDER = ("o_orderdate", "o_orderkey")
@@ -70,16 +69,12 @@ def facts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
-def _every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
+def _text(value: str) -> str:
+    return f"CAST({value} AS STRING)"
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
-
-
-def _decimal(whole: Column, tenths: Column) -> Column:
-    return F.concat(_text(whole), F.lit("."), _text(tenths))
+def _decimal(whole: str, tenths: str) -> str:
+    return f"concat({whole}, '.', {tenths})"
 
 
 def _check(grain: str) -> None:
@@ -87,160 +82,122 @@ def _check(grain: str) -> None:
         raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
 
 
+def _named(values: dict[str, str]) -> list[str]:
+    return [f"{value} AS {quoted(name)}" for name, value in values.items()]
+
+
+PRICE = "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS STRING)"
+PANEL_VALUES = {
+    "Country": "CASE WHEN o_orderkey % 97 = 0 THEN '' WHEN o_orderkey % 89 = 0 THEN NULL "
+    "WHEN o_orderkey % 5 = 0 THEN concat(' ', _name, ' ') ELSE _name END",
+    "Year": "CASE WHEN o_orderkey % 83 = 0 THEN '9999' WHEN o_orderkey % 79 = 0 THEN 'n/a' "
+    f"WHEN o_orderkey % 73 = 0 THEN '' ELSE {_text('year(o_orderdate)')} END",
+    "Status": "CASE WHEN c_custkey % 4 = 0 THEN 'Developed' WHEN c_custkey % 7 = 0 THEN ' ' ELSE ' Developing ' END",
+    "Life expectancy": "CASE WHEN o_orderkey % 71 = 0 THEN 'abc' WHEN o_orderkey % 67 = 0 THEN '' "
+    f"ELSE {_decimal('40 + c_custkey % 45', 'o_orderkey % 10')} END",
+    "Adult Mortality": _text("c_custkey % 400"),
+    "infant deaths": f"CASE WHEN o_orderkey % 61 <> 0 THEN {_text('o_orderkey % 300')} END",
+    "Alcohol": _decimal("o_orderkey % 15", "c_custkey % 10"),
+    "percentage expenditure": PRICE,
+    "Hepatitis B": f"CASE WHEN o_orderkey % 59 = 0 THEN '' ELSE {_text('o_orderkey % 100')} END",
+    "Measles": _text("c_custkey"),
+    "BMI": _decimal("15 + o_orderkey % 30", "o_orderkey % 7"),
+    "under-five deaths": _text("o_orderkey % 350"),
+    "Polio": _text("o_orderkey % 101"),
+    "Total expenditure": _decimal("o_orderkey % 12", "o_orderkey % 10"),
+    "Diphtheria": _text("(o_orderkey + c_custkey) % 100"),
+    "HIV/AIDS": _decimal("o_orderkey % 13", "c_custkey % 10"),
+    "GDP": f"CASE WHEN o_orderkey % 53 <> 0 THEN {PRICE} END",
+    "Population": f"CASE WHEN o_orderkey % 47 = 0 THEN 'many' ELSE {_text('c_custkey * 100000 + o_orderkey')} END",
+    "thinness 1-19 years": _decimal("o_orderkey % 28", "o_orderkey % 9"),
+    "thinness 5-9 years": _decimal("o_orderkey % 29", "o_orderkey % 8"),
+    "Income composition of resources": "concat('0.', 100 + o_orderkey % 900)",
+    "Schooling": _decimal("o_orderkey % 18", "o_orderkey % 10"),
+}
+OUTBREAK_VALUES = {
+    "Province/State": "CASE WHEN l_suppkey % 4 <> 0 THEN s_name END",
+    "Country/Region": "CASE WHEN l_partkey % 101 = 0 THEN NULL WHEN l_partkey % 103 = 0 THEN '  ' ELSE _name END",
+    "Lat": _decimal("l_partkey % 90", "l_linenumber"),
+    "Long": f"CASE WHEN l_partkey % 97 = 0 THEN 'east' ELSE {_decimal('l_partkey % 180', 'l_linenumber')} END",
+    "Date": "CASE WHEN l_partkey % 107 = 0 THEN '13-45-2023' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END",
+    "Confirmed": "CASE WHEN l_partkey % 109 = 0 THEN 'abc' WHEN l_partkey % 113 = 0 THEN '' "
+    f"ELSE {_text('l_partkey')} END",
+    "Deaths": f"CASE WHEN l_partkey % 113 <> 0 THEN {_text('CAST(floor(l_quantity) AS BIGINT)')} END",
+    "Recovered": f"CASE WHEN l_partkey % 127 = 0 THEN '' ELSE {_text('l_partkey % 50 + l_linenumber')} END",
+    "Active": f"CASE WHEN l_partkey % 131 = 0 THEN 'n/a' ELSE {_text('l_suppkey')} END",
+    "WHO Region": "r_name",
+}
+
+
 def panel_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """One raw indicator row per order."""
     _check(grain)
     orders = facts(spark, sf_dir, "orders", "o_orderkey").withColumnRenamed("o_custkey", "c_custkey")
     rows = orders.join(table(spark, sf_dir, "customer"), "c_custkey")
-    name = F.col("c_name")
     if grain == "nation":
-        rows = rows.withColumnRenamed("c_nationkey", "n_nationkey").join(table(spark, sf_dir, "nation"), "n_nationkey")
-        name = F.col("n_name")
-    key, customer = F.col("o_orderkey"), F.col("c_custkey")
-    price = _text(F.col("o_totalprice").cast("decimal(12,2)"))
-    country = (
-        F.when(_every("o_orderkey", 97), F.lit(""))
-        .when(_every("o_orderkey", 89), F.lit(None))
-        .when(_every("o_orderkey", 5), F.concat(F.lit(" "), name, F.lit(" ")))
-        .otherwise(name)
-    )
-    year = (
-        F.when(_every("o_orderkey", 83), F.lit("9999"))
-        .when(_every("o_orderkey", 79), F.lit("n/a"))
-        .when(_every("o_orderkey", 73), F.lit(""))
-        .otherwise(_text(F.year("o_orderdate")))
-    )
-    life = (
-        F.when(_every("o_orderkey", 71), F.lit("abc"))
-        .when(_every("o_orderkey", 67), F.lit(""))
-        .otherwise(_decimal(40 + customer % 45, key % 10))
-    )
-    status = (
-        F.when(_every("c_custkey", 4), F.lit("Developed"))
-        .when(_every("c_custkey", 7), F.lit(" "))
-        .otherwise(F.lit(" Developing "))
-    )
-    values = {
-        "Country": country,
-        "Year": year,
-        "Status": status,
-        "Life expectancy": life,
-        "Adult Mortality": _text(customer % 400),
-        "infant deaths": F.when(~_every("o_orderkey", 61), _text(key % 300)),
-        "Alcohol": _decimal(key % 15, customer % 10),
-        "percentage expenditure": price,
-        "Hepatitis B": F.when(_every("o_orderkey", 59), F.lit("")).otherwise(_text(key % 100)),
-        "Measles": _text(customer),
-        "BMI": _decimal(15 + key % 30, key % 7),
-        "under-five deaths": _text(key % 350),
-        "Polio": _text(key % 101),
-        "Total expenditure": _decimal(key % 12, key % 10),
-        "Diphtheria": _text((key + customer) % 100),
-        "HIV/AIDS": _decimal(key % 13, customer % 10),
-        "GDP": F.when(~_every("o_orderkey", 53), price),
-        "Population": F.when(_every("o_orderkey", 47), F.lit("many")).otherwise(_text(customer * 100000 + key)),
-        "thinness 1-19 years": _decimal(key % 28, key % 9),
-        "thinness 5-9 years": _decimal(key % 29, key % 8),
-        "Income composition of resources": F.concat(F.lit("0."), _text(100 + key % 900)),
-        "Schooling": _decimal(key % 18, key % 10),
-    }
-    return rows.select(*[values[f[0]].alias(f[0]) for f in PANEL_FIELDS], *PANEL_ORDER)
+        nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        rows = rows.join(nations, "c_nationkey").withColumnRenamed("n_name", "_name")
+    else:
+        rows = rows.withColumnRenamed("c_name", "_name")
+    return rows.selectExpr(*_named(PANEL_VALUES), *PANEL_ORDER)
 
 
 def outbreak_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """One raw count row per order line: by the supplier's nation, or by customer."""
     _check(grain)
-    lines = facts(spark, sf_dir, "lineitem", "l_orderkey")
-    suppliers = table(spark, sf_dir, "supplier")
-    rows = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-    name, home = F.col("n_name"), "s_nationkey"
+    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+    rows = facts(spark, sf_dir, "lineitem", "l_orderkey").join(suppliers, "l_suppkey")
+    home, name = "s_nationkey", "n_name"
     if grain == "customer":
-        orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-        rows = rows.join(orders.join(customers, "o_custkey"), "l_orderkey")
-        name, home = F.col("c_name"), "c_nationkey"
+        orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS c_custkey")
+        rows = rows.join(orders.join(table(spark, sf_dir, "customer"), "c_custkey"), "l_orderkey")
+        home, name = "c_nationkey", "c_name"
     nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", home)
     regions = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    rows = rows.join(nations, home).join(regions, "n_regionkey")
-    part, line = F.col("l_partkey"), F.col("l_linenumber")
-    values = {
-        "Province/State": F.when(~_every("l_suppkey", 4), F.col("s_name")),
-        "Country/Region": (
-            F.when(_every("l_partkey", 101), F.lit(None))
-            .when(_every("l_partkey", 103), F.lit("  "))
-            .otherwise(name)
-        ),
-        "Lat": _decimal(part % 90, line),
-        "Long": F.when(_every("l_partkey", 97), F.lit("east")).otherwise(_decimal(part % 180, line)),
-        "Date": (
-            F.when(_every("l_partkey", 107), F.lit("13-45-2023"))
-            .otherwise(_text(F.col("l_shipdate").cast("date")))
-        ),
-        "Confirmed": (
-            F.when(_every("l_partkey", 109), F.lit("abc"))
-            .when(_every("l_partkey", 113), F.lit(""))
-            .otherwise(_text(part))
-        ),
-        "Deaths": F.when(~_every("l_partkey", 113), _text(F.floor("l_quantity").cast("bigint"))),
-        "Recovered": F.when(_every("l_partkey", 127), F.lit("")).otherwise(_text(part % 50 + line)),
-        "Active": F.when(_every("l_partkey", 131), F.lit("n/a")).otherwise(_text(F.col("l_suppkey"))),
-        "WHO Region": F.col("r_name"),
-    }
-    return rows.select(*[values[f[0]].alias(f[0]) for f in OUTBREAK_FIELDS], *OUTBREAK_ORDER)
+    rows = rows.join(nations, home).join(regions, "n_regionkey").withColumnRenamed(name, "_name")
+    return rows.selectExpr(*_named(OUTBREAK_VALUES), *OUTBREAK_ORDER)
 
 
 def capacity_wide(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """One raw row per entity with its order count per year in a column of its own, plus ``_id``."""
     _check(grain)
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("_year")
-    )
-    counts = [F.count_if(F.col("_year") == year).alias(str(year)) for year in ORDER_YEARS]
-    per_customer = orders.groupBy("c_custkey").agg(*counts)
-    rows = per_customer.join(table(spark, sf_dir, "customer"), "c_custkey")
-    if grain == "nation":
-        totals = [F.sum(str(year)).alias(str(year)) for year in ORDER_YEARS]
-        rows = rows.groupBy("c_nationkey").agg(*totals).withColumnRenamed("c_nationkey", "n_nationkey")
-        rows = rows.join(table(spark, sf_dir, "nation"), "n_nationkey")
-        return _nation_capacity(rows)
-    return _customer_capacity(rows)
+    orders = table(spark, sf_dir, "orders").selectExpr("o_custkey AS c_custkey", "year(o_orderdate) AS _year")
+    counts = [F.expr(f"count_if(_year = {year}) AS `{year}`") for year in ORDER_YEARS]
+    rows = orders.groupBy("c_custkey").agg(*counts).join(table(spark, sf_dir, "customer"), "c_custkey")
+    if grain == "customer":
+        return _customer_capacity(rows)
+    totals = [F.expr(f"sum(`{year}`) AS `{year}`") for year in ORDER_YEARS]
+    nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    return _nation_capacity(rows.groupBy("c_nationkey").agg(*totals).join(nations, "c_nationkey"))
 
 
 def _customer_capacity(rows: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
     code = (
-        F.when(_every("c_custkey", 37), F.lit(""))
-        .when(_every("c_custkey", 31), F.lit("XX"))
-        .otherwise(F.concat(F.lit("C"), F.substring(_text(100 + key % 900), -2, 2)))
+        "CASE WHEN c_custkey % 37 = 0 THEN '' WHEN c_custkey % 31 = 0 THEN 'XX' "
+        "ELSE concat('C', right(100 + c_custkey % 900, 2)) END"
     )
-    cells = {str(year): _text(F.col(str(year))) for year in ORDER_YEARS}
-    cells["1997"] = F.when(_every("c_custkey", 41), F.lit("n/a")).otherwise(cells["1997"])
+    cells = {str(year): _text(quoted(str(year))) for year in ORDER_YEARS}
+    cells["1997"] = f"CASE WHEN c_custkey % 41 = 0 THEN 'n/a' ELSE {cells['1997']} END"
     cells["1998"] = (
-        F.when(_every("c_custkey", 2), F.lit("")).when(_every("c_custkey", 3), F.lit(None)).otherwise(cells["1998"])
+        f"CASE WHEN c_custkey % 2 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN NULL ELSE {cells['1998']} END"
     )
-    return _wide(rows, F.col("c_name"), code, cells, key)
+    return _wide(rows, "c_name", code, cells, "c_custkey")
 
 
 def _nation_capacity(rows: DataFrame) -> DataFrame:
-    key = F.col("n_nationkey")
-    code = F.concat(
-        F.when(_every("n_nationkey", 5), F.lit("n")).otherwise(F.lit("N")),
-        F.substring(_text(100 + key), -2, 2),
-    )
+    code = "concat(CASE WHEN c_nationkey % 5 = 0 THEN 'n' ELSE 'N' END, right(100 + c_nationkey, 2))"
     name = (
-        F.when(_every("n_nationkey", 11), F.concat(F.lit("Republic of "), F.col("n_name")))
-        .when(_every("n_nationkey", 3), F.concat(F.lit(" "), F.lower("n_name")))
-        .otherwise(F.col("n_name"))
+        "CASE WHEN c_nationkey % 11 = 0 THEN concat('Republic of ', n_name) "
+        "WHEN c_nationkey % 3 = 0 THEN concat(' ', lower(n_name)) ELSE n_name END"
     )
-    cells = {str(year): _decimal(F.col(str(year)) % 5, F.col(str(year)) % 10) for year in ORDER_YEARS}
-    cells["2001"] = F.when(_every("n_nationkey", 4), F.lit(" ")).otherwise(cells["2001"])
-    return _wide(rows, name, code, cells, key)
+    cells = {str(year): _decimal(f"`{year}` % 5", f"`{year}` % 10") for year in ORDER_YEARS}
+    cells["2001"] = f"CASE WHEN c_nationkey % 4 = 0 THEN ' ' ELSE {cells['2001']} END"
+    return _wide(rows, name, code, cells, "c_nationkey")
 
 
-def _wide(rows: DataFrame, name: Column, code: Column, cells: dict[str, Column], key: Column) -> DataFrame:
-    ids = dict(zip(WIDE_IDS, (name, code, F.lit(BEDS), F.lit("BEDS"))))
-    named = [value.alias(label) for label, value in (ids | cells).items()]
-    return rows.select(*named, key.cast("bigint").alias("_id"))
+def _wide(rows: DataFrame, name: str, code: str, cells: dict[str, str], key: str) -> DataFrame:
+    ids = dict(zip(WIDE_IDS, (name, code, f"'{BEDS}'", "'BEDS'")))
+    return rows.selectExpr(*_named(ids | cells), f"CAST({key} AS BIGINT) AS _id")
 
 
 def capacity_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
