@@ -12,11 +12,6 @@ def match_key(name: str) -> Column:
     return F.lower(F.trim(F.col(name)))
 
 
-def null_proof(name: str) -> Column:
-    """Text key where NULL equals NULL and differs from ''."""
-    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
-
-
 def key_hash(columns: list[str], charset: str = "UTF-16LE") -> Column:
     """Upper-case hex SHA-256 of the columns joined by ``|``, NULL as ''; the input is not trimmed."""
     parts = [F.coalesce(F.col(name), F.lit("")) for name in columns]

@@ -30,7 +30,9 @@ def spread_left_join(
         heavy = left.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > heavy_rows).select(key)
     hot = F.broadcast(heavy.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted_left = left.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0))
+    # Rows without a key find no partner wherever they are, so they are spread as well.
+    spreads = F.col("_hot") | F.col(key).isNull()
+    salted_left = left.join(hot, key, "left").withColumn("_salt", F.when(spreads, spread).otherwise(0))
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(0)
     salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
     return salted_left.drop("_hot").join(salted_right.drop("_hot"), [key, "_salt"], "left").drop("_salt")

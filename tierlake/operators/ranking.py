@@ -67,7 +67,8 @@ def rank_by_score(
 ) -> DataFrame:
     """Rows with a score and their rank (ties share one, gaps follow), highest score first.
 
-    Only distinct scores are ranked; the ranks then join back. ``spread_by`` as in the spread join.
+    Only distinct scores are ranked; the ranks then join back. The rows are read twice, so pass a
+    stored table when they are costly to compute. ``spread_by`` as in the spread join.
     """
     scored = df.filter(F.col(score).isNotNull())
     ranks = scratch.checkpointed(score_ranks(scored, score, name, partitions))

@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tierlake.functions.casts import is_blank
+from tierlake.functions.casts import is_blank, literal, quoted
 
 YEAR_HEADER = re.compile(r"^\d{4}$")
 
@@ -23,6 +23,12 @@ def unpivot_wide(
     name: str = "Year",
     value: str = "value",
 ) -> DataFrame:
-    """One row per id and non-blank cell. Without ``values``, every column headed by a year is melted."""
+    """One row per id and non-blank cell. Without ``values``, every column headed by a year is melted.
+
+    ``stack`` rather than ``DataFrame.unpivot``: code generated for casts on top of the latter's
+    Expand can fail to compile, and the stage then runs without code generation.
+    """
     cells = list(values) if values is not None else year_columns(df)
-    return df.unpivot(list(ids), cells, name, value).filter(~is_blank(value))
+    pairs = ", ".join(f"{literal(cell)}, {quoted(cell)}" for cell in cells)
+    melted = f"stack({len(cells)}, {pairs}) AS ({quoted(name)}, {quoted(value)})"
+    return df.selectExpr(*[quoted(i) for i in ids], melted).filter(~is_blank(value))

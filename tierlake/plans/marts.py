@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tierlake.functions.keys import match_key, null_proof
+from tierlake.functions.keys import match_key
 from tierlake.functions.scores import percent_of, step_label
 from tierlake.operators.dedupe import latest_per_key
 from tierlake.operators.joins import spread_left_join
@@ -18,6 +18,8 @@ PROFILE_COLUMNS = (
 )
 FULL_ONLY = ("population", "pct_expenditure", "measles", "thinness_1_19_years", "thinness_5_9_years")
 
+REPEAT_BLOCK = 10_000
+
 
 def country_profile(panel: DataFrame, variant: str = "full") -> DataFrame:
     """One row per entity: its latest year."""
@@ -128,13 +130,22 @@ def region_summary(outbreak: DataFrame, corrected: bool = False, digits: int | N
         F.sum("peak_deaths").alias("region_total_deaths"),
         mean.alias("avg_cfr_pct"),
     )
-    if corrected:
-        return totals
-    # A join instead of a window: a region of any size never has to fit one task.
-    entities = per_entity.select(null_proof("who_region").alias("_region"), "who_region", "country_region")
-    named = totals.withColumn("_region", null_proof("who_region")).drop("who_region", "countries_in_region")
-    return spread_left_join(entities, named, "_region", ["country_region"]).select(
+    return totals if corrected else _one_per_entity(totals)
+
+
+def _one_per_entity(totals: DataFrame) -> DataFrame:
+    """The rows of a region's entities are all alike, so its totals are repeated; nothing is joined.
+
+    Repeats are made block by block, which bounds the arrays that are exploded.
+    """
+    last_block = (F.col("countries_in_region") - 1) / REPEAT_BLOCK
+    blocks = totals.filter("countries_in_region > 0").withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last_block)))
+    )
+    left = F.col("countries_in_region") - F.col("_block") * REPEAT_BLOCK
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(left, F.lit(REPEAT_BLOCK).cast("bigint"))))
+    return blocks.withColumn("_copy", copies).select(
         "who_region",
-        F.when(F.col("country_region").isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("countries_in_region"),
+        F.lit(1).cast("bigint").alias("countries_in_region"),
         "region_total_confirmed", "region_total_deaths", "avg_cfr_pct",
     )

@@ -700,7 +700,7 @@ def capacity_gap(spark: SparkSession, d: str) -> DataFrame:
        FROM card_c WHERE composite_health_score IS NOT NULL"""
 )
 def score_ranking(spark: SparkSession, d: str) -> DataFrame:
-    return reports.score_ranking(card(spark, d, "customer"))
+    return reports.score_ranking(scratch.stored(card(spark, d, "customer"), "scorecard"))
 
 
 @query(

@@ -62,11 +62,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def facts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A large table. When its files give fewer tasks than there are cores, the rows are spread first.
 
-    Real inputs have many files and are read as they are, without a shuffle.
+    Real inputs have many splits and are read as they are, without a shuffle.
     """
     df = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _text(value: str) -> str:
