@@ -18,9 +18,11 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
-            "spark.default.parallelism": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "6g",
+            # Tables of a dozen rows: compiling generated code would take most of the time.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(warehouse),

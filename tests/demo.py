@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tierlake.contracts import Contract
-from tierlake.sources.delimited import add_metadata
+from tierlake.functions.keys import key_hash
 
 # Sample rows, as text.
 PANEL = """
@@ -71,18 +71,16 @@ def rows_of(text: str) -> list[list[str | None]]:
 
 def frame(spark: SparkSession, contract: Contract, rows: list) -> DataFrame:
     """Raw frame with ingest columns; the ordinal follows the order of the list."""
-    names = contract.source_columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_src_file"]])
-    numbered = schema.add("_at", T.LongType())
-    data = [[*row, contract.source_file, i] for i, row in enumerate(rows)]
-    plain = spark.createDataFrame(data, numbered)
-    landed = add_metadata(plain.select("*"), contract).drop("_ordinal")
-    # add_metadata keeps the row order of a frame, but a test should not depend on it.
-    keyed = plain.select(*names, F.col("_at").alias("_ordinal")).alias("k")
-    same = [F.col(f"k.`{n}`").eqNullSafe(F.col(f"m.`{n}`")) for n in names]
-    meta = landed.dropDuplicates(names).alias("m")
-    return keyed.join(meta, same).select(
-        *[F.col(f"k.`{n}`") for n in names], "m._src_file", "m._ingested_at", "m._row_hash", "k._ordinal"
+    fields = [T.StructField(n, T.StringType()) for n in contract.source_columns]
+    schema = T.StructType([*fields, T.StructField("_ordinal", T.LongType())])
+    raw = spark.createDataFrame([[*row, i] for i, row in enumerate(rows)], schema).coalesce(1)
+    named = raw.withColumn("_src_file", F.lit(contract.label))
+    return named.select(
+        *contract.source_columns,
+        "_src_file",
+        F.current_timestamp().alias("_ingested_at"),
+        key_hash(list(contract.hash_key)).alias("_row_hash"),
+        "_ordinal",
     )
 
 

@@ -51,9 +51,9 @@ WIDE_HEADER = "|".join([*WIDE_IDS, *[str(y) for y in range(1960, 2020)]])
 def files(tmp_path_factory):
     folder = tmp_path_factory.mktemp("files")
     return Inputs(
-        write(folder / "who_health_indicators.csv", PANEL_HEADER, plain(demo.PANEL), "\r\n"),
-        write(folder / "disease_outbreaks.csv", OUTBREAK_HEADER, plain(demo.OUTBREAK)),
-        write(folder / "hospital_capacity_clean.csv", WIDE_HEADER, wide_lines()),
+        write(folder / "panel.csv", PANEL_HEADER, plain(demo.PANEL), "\r\n"),
+        write(folder / "outbreak.csv", OUTBREAK_HEADER, plain(demo.OUTBREAK)),
+        write(folder / "wide.txt", WIDE_HEADER, wide_lines()),
     )
 
 
@@ -74,7 +74,7 @@ def test_bronze_tables(lake):
     assert bronze.count() == 14
     assert set(bronze.columns) >= {"Life expectancy", "_src_file", "_ingested_at", "_row_hash", "_ordinal"}
     assert all(t == "string" for n, t in bronze.dtypes if not n.startswith("_"))
-    assert bronze.select("_src_file").distinct().first()[0] == "who_health_indicators.csv"
+    assert bronze.select("_src_file").distinct().first()[0] == "panel.csv"
     assert bronze.select(F.count_distinct("_ordinal")).first()[0] == 14
     assert lake.table("bronze.hospital_capacity").count() == 12
 
@@ -82,9 +82,9 @@ def test_bronze_tables(lake):
 def test_log(lake):
     rows = lake.table(LOG_TABLE).orderBy("log_id").collect()
     assert [(r.log_id, r.table_name, r.src_file, r.rows_before, r.rows_after, r.rows_loaded) for r in rows] == [
-        (1, "bronze.who_health_indicators", "who_health_indicators.csv", 0, 14, 14),
-        (2, "bronze.disease_outbreaks", "disease_outbreaks.csv", 0, 15, 15),
-        (3, "bronze.hospital_capacity", "hospital_capacity_clean.csv", 0, 12, 12),
+        (1, "bronze.who_health_indicators", "panel.csv", 0, 14, 14),
+        (2, "bronze.disease_outbreaks", "outbreak.csv", 0, 15, 15),
+        (3, "bronze.hospital_capacity", "wide.txt", 0, 12, 12),
     ]
     assert [r.rows_loaded for r in lake.load_summary().collect()] == [14, 15, 12]
 
@@ -122,7 +122,7 @@ def test_rerun_gives_the_same(lake, files):
 
 def test_demo_refresh(spark, files, tmp_path):
     lake = Lake(spark, "demo_")
-    capacity = write(tmp_path / "hospital_capacity.csv", CAPACITY_HEADER, plain(demo.CAPACITY))
+    capacity = write(tmp_path / "long.csv", CAPACITY_HEADER, plain(demo.CAPACITY))
     run = Refresh(lake, "demo", capacity=capacity_contract("demo", separator=","))
     run.run(Inputs(files.panel, files.outbreak, capacity, wide=None))
     assert lake.table("silver.hospital_capacity").count() == 13
@@ -135,7 +135,7 @@ def load_outbreak(spark, prefix, lines, folder, allowed):
     run = Refresh(lake)
     run.outbreak = run.outbreak.with_options(max_errors=allowed)
     run.start()
-    path = write(folder / "disease_outbreaks.csv", OUTBREAK_HEADER, lines)
+    path = write(folder / "outbreak.csv", OUTBREAK_HEADER, lines)
     frame = delimited.read_contract(spark, path, run.outbreak)
     return lake, run.land(frame, run.outbreak, 1, path, delimited.is_malformed(run.outbreak))
 

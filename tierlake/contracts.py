@@ -57,7 +57,6 @@ class Contract:
     label: str
     bronze_table: str
     silver_table: str
-    source_file: str
     fields: tuple[Field, ...]
     key: tuple[str, ...]
     hash_key: tuple[str, ...]
@@ -128,7 +127,7 @@ def no(condition: str) -> str:
 
 
 # ---------------------------------------------------------------------------------------------
-# Names of tables, files and columns, reason codes and texts, ranges and limits.
+# Names of tables and columns, reason codes and texts, ranges and limits.
 PANEL, OUTBREAK, CAPACITY = "DS1", "DS2", "DS3"
 
 PANEL_BRONZE, PANEL_SILVER = "bronze.who_health_indicators", "silver.who_health_indicators"
@@ -206,11 +205,6 @@ REASONS = {
     "capacity duplicate demo": "Duplicate Code+Year – first-ingested row kept",
 }
 
-PANEL_FILE, OUTBREAK_FILE = "who_health_indicators.csv", "disease_outbreaks.csv"
-CAPACITY_FILE = "hospital_capacity_clean.csv"
-PANEL_NOTE = "Full load – Life Expectancy Data.csv – expected 2938 rows"
-OUTBREAK_NOTE = "Full load – covid_19_clean_complete.csv – expected ~49068 rows"
-CAPACITY_NOTE = "Full load – hospital_beds.csv – expected ~4700 rows"
 PANEL_MAX_ERRORS, OUTBREAK_MAX_ERRORS, CAPACITY_MAX_ERRORS = 10, 50, 10
 
 # Whole-file id columns of the wide capacity file; every other column is a four-digit year.
@@ -240,7 +234,6 @@ def panel_contract(variant: str = "full", years: tuple[int, int] = PANEL_YEARS,
         label=PANEL,
         bronze_table=PANEL_BRONZE,
         silver_table=PANEL_SILVER,
-        source_file=PANEL_FILE,
         fields=tuple(
             Field(s, t, d, required=s in ("Country", "Year"), null_as_blank=s in blanked, max_length=n)
             for s, t, d, n in PANEL_FIELDS
@@ -268,7 +261,6 @@ def panel_contract(variant: str = "full", years: tuple[int, int] = PANEL_YEARS,
         entity="Country",
         period="Year",
         max_errors=PANEL_MAX_ERRORS,
-        load_note=PANEL_NOTE,
         ranges={"Year": years},
     ).with_options(**options)
 
@@ -288,7 +280,6 @@ def outbreak_contract(variant: str = "full", **options) -> Contract:
         label=OUTBREAK,
         bronze_table=OUTBREAK_BRONZE,
         silver_table=OUTBREAK_SILVER,
-        source_file=OUTBREAK_FILE,
         fields=tuple(
             Field(s, t, d, required=s in ("Country/Region", "Date"), max_length=n)
             for s, t, d, n in OUTBREAK_FIELDS
@@ -329,7 +320,6 @@ def outbreak_contract(variant: str = "full", **options) -> Contract:
         entity="Country/Region",
         period="Date",
         max_errors=OUTBREAK_MAX_ERRORS,
-        load_note=OUTBREAK_NOTE,
     ).with_options(**options)
 
 
@@ -362,7 +352,6 @@ def capacity_contract(
         label=CAPACITY,
         bronze_table=CAPACITY_BRONZE,
         silver_table=CAPACITY_SILVER,
-        source_file=CAPACITY_FILE,
         fields=tuple(
             Field(s, t, d, upper=s == "Code", required=True, max_length=n) for s, t, d, n in CAPACITY_FIELDS
         ),
@@ -396,6 +385,5 @@ def capacity_contract(
         period="Year",
         separator="|",
         max_errors=CAPACITY_MAX_ERRORS,
-        load_note=CAPACITY_NOTE,
         ranges={"Year": years},
     ).with_options(**options)
