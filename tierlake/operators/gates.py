@@ -35,14 +35,17 @@ def assess(bronze: DataFrame, contract: Contract) -> DataFrame:
 def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = False) -> DataFrame:
     """Adds ``_failed`` (all failures, duplicates included) and ``_load`` (goes to silver)."""
     gate = contract.duplicates
+    ranked, loadable = gate.ranked(contract), gate.loaded(contract)
+    # Where both rankings cover the same rows, one serves for both.
+    first = "_load" if ranked == loadable else "_first"
     flagged = flag_first(
         bronze,
         [F.expr(key) for key in contract.key_columns()],
         contract.order,
-        {"_first": F.expr(gate.ranked(contract)), "_load": F.expr(gate.loaded(contract))},
+        {first: F.expr(ranked), "_load": F.expr(loadable)},
     )
     repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot))
-    failures = [*_failures(contract), f"CASE WHEN _in__first AND NOT _first THEN {repeated} END"]
+    failures = [*_failures(contract), f"CASE WHEN _in_{first} AND NOT {first} THEN {repeated} END"]
     failed = f"array_compact(array({', '.join(failures)}))"
     if report_unaccounted:
         everything = snapshot_sql(tuple((name, name) for name in contract.source_columns))

@@ -169,8 +169,7 @@ _OUTBREAK_HASH = _UTF16.format(
 )
 def bronze_metadata(spark: SparkSession, d: str) -> DataFrame:
     """Ingest columns; the load time and the ordinal differ from run to run and are left out."""
-    frame = star.panel_bronze(spark, d).withColumn("_src_file", F.lit("orders.parquet"))
-    landed = delimited.add_metadata(frame, star.panel())
+    landed = delimited.add_metadata(star.panel_bronze(spark, d, with_file=True), star.panel())
     return landed.select("Country", "Year", "_src_file", "_row_hash")
 
 

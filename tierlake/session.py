@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits an oversized join partition at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Rank filters run per map task before the shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }

@@ -129,17 +129,21 @@ OUTBREAK_VALUES = {
 }
 
 
-def panel_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    """One raw indicator row per order."""
+def panel_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation", with_file: bool = False) -> DataFrame:
+    """One raw indicator row per order; ``with_file`` adds the name of the file it was read from."""
     _check(grain)
-    orders = facts(spark, sf_dir, "orders", "o_orderkey").withColumnRenamed("o_custkey", "c_custkey")
+    orders = facts(spark, sf_dir, "orders", "o_orderkey")
+    source = ("_src_file",) if with_file else ()
+    if with_file:
+        orders = orders.select("*", F.col("_metadata.file_name").alias("_src_file"))
+    orders = orders.withColumnRenamed("o_custkey", "c_custkey")
     rows = orders.join(table(spark, sf_dir, "customer"), "c_custkey")
     if grain == "nation":
         nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
         rows = rows.join(nations, "c_nationkey").withColumnRenamed("n_name", "_name")
     else:
         rows = rows.withColumnRenamed("c_name", "_name")
-    return rows.selectExpr(*_named(PANEL_VALUES), *PANEL_ORDER)
+    return rows.selectExpr(*_named(PANEL_VALUES), *PANEL_ORDER, *source)
 
 
 def outbreak_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
