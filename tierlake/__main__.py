@@ -1,6 +1,8 @@
 """Full refresh from the command line.
 
-    spark-submit -m tierlake --panel p.csv --outbreak o.csv --capacity c.csv [--variant demo] [--prefix x_]
+    python -m tierlake --panel p.csv --outbreak o.csv --capacity c.csv [--variant demo] [--prefix x_]
+
+On a cluster: spark-submit --py-files tierlake.zip tierlake/__main__.py with the same arguments.
 """
 
 from __future__ import annotations
