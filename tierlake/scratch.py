@@ -6,6 +6,7 @@ when that is unset and Spark itself runs on one machine, as in tests.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -21,6 +22,11 @@ def _root(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return _one_machine()
+
+
+@functools.cache
+def _one_machine() -> str:
     return tempfile.mkdtemp(prefix="tierlake-")
 
 
