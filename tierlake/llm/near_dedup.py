@@ -38,8 +38,8 @@ from tierlake.llm.components import components
 
 WIDTH = 4
 COORDINATES, BANDS = 128, 32
-# Members of one block when a bucket is compared throughout.
-BLOCK = 256
+# Members of one block when a bucket is compared throughout, and guests that one task compares with them.
+BLOCK, GUESTS = 256, 4096
 # Six standard deviations of a 128-coordinate estimate below the similarity of 0.8.
 LEAST_AGREEMENT = 76
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -151,46 +151,53 @@ def _star_pairs(bands: DataFrame) -> DataFrame:
     return pairs.select("a", F.col("rep").alias("b")).distinct()
 
 
+class _Block:
+    """Members of one block that were seen so far; members and guests are compared with those."""
+
+    def __init__(self) -> None:
+        self.rep: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.size, self.root = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.sketch = np.zeros((0, COORDINATES), np.uint16)
+        self.alias: dict[int, int] = {}
+
+    def links(self, rep: int, root: int, sketch: np.ndarray, shown: np.ndarray, member: bool) -> Iterator[tuple[int, int]]:
+        """Links of one row, at most one to each component that is still apart from its own."""
+        while root in self.alias:
+            root = self.alias[root]
+        n = len(shown)
+        likely = np.flatnonzero(self.root != root)
+        likely = likely[100 * np.minimum(self.size[likely], n) >= 80 * np.maximum(self.size[likely], n)]
+        likely = likely[(self.sketch[likely] == sketch).sum(axis=1) >= LEAST_AGREEMENT]
+        for j in likely:
+            if self.root[j] == root:
+                continue
+            both = np.count_nonzero(_found_in(shown, self.sets[j]))
+            if 100 * both >= 80 * (n + self.size[j] - both):
+                yield min(rep, self.rep[j]), max(rep, self.rep[j])
+                self.alias[int(self.root[j])] = root
+                self.root[self.root == self.root[j]] = root
+        if member:
+            self.rep.append(rep)
+            self.sets.append(shown)
+            self.size, self.root = np.append(self.size, n), np.append(self.root, root)
+            self.sketch = np.concatenate([self.sketch, sketch[None]])
+
+
 def _links_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between components, from rows sorted by their pair of blocks."""
-    rest = None
+    """Links between components, from rows sorted by block, members first."""
+    last, block = None, _Block()
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        low, high = table["low"].to_numpy(), table["high"].to_numpy()
-        cuts = [0, *(np.flatnonzero((low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1).tolist()]
-        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            yield _links_of(table.slice(start, end - start))
-        rest = table.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
-        yield _links_of(rest)
-
-
-def _links_of(table: pa.Table) -> pa.RecordBatch:
-    """Compare two blocks throughout, but a pair only while its components are still apart."""
-    table = table.combine_chunks()
-    rep, root, block = (table[c].to_numpy() for c in ("rep", "root", "block"))
-    sketch = table["sketch"].combine_chunks().flatten().to_numpy().view("<u2").reshape(-1, COORDINATES)
-    sets = [shown for _, _, data, offsets in T.slices(table["text"].combine_chunks()) for shown in shingle_sets(data, offsets)]
-    size = np.array([len(s) for s in sets])
-    _, root = np.unique(root, return_inverse=True)
-    low, high = table["low"][0].as_py(), table["high"][0].as_py()
-    links = []
-    two = np.flatnonzero(block == high)
-    for i in np.flatnonzero(block == low):
-        others = two[root[two] != root[i]]
-        if low == high:
-            others = others[others > i]
-        others = others[100 * np.minimum(size[others], size[i]) >= 80 * np.maximum(size[others], size[i])]
-        others = others[(sketch[others] == sketch[i]).sum(axis=1) >= LEAST_AGREEMENT]
-        for j in others:
-            if root[i] == root[j]:
-                continue
-            both = np.count_nonzero(_found_in(sets[i], sets[j]))
-            if 100 * both >= 80 * (size[i] + size[j] - both):
-                links.append(sorted((int(rep[i]), int(rep[j]))))
-                root[root == root[j]] = root[i]
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+        host, part, rep, root = (T.column(batch, c).to_pylist() for c in ("host", "part", "rep", "root"))
+        guest = T.column(batch, "guest").to_pylist()
+        sketch = T.column(batch, "sketch").flatten().to_numpy().view("<u2").reshape(-1, COORDINATES)
+        sets = (shown for _, _, data, offsets in T.slices(T.column(batch, "text")) for shown in shingle_sets(data, offsets))
+        links = []
+        for i, shown in enumerate(sets):
+            if (host[i], part[i]) != last:
+                last, block = (host[i], part[i]), _Block()
+            links += block.links(rep[i], root[i], sketch[i], shown, not guest[i])
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def _found_in(some: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -215,15 +222,22 @@ def _rest_links(nodes: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFra
     share = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("home.size") / BLOCK))
     home = home.select("rep", F.xxhash64("home.band", "home.key", share).alias("block"))
     homes = scratch.stored(home, "homes")
-    blocks = inside.join(homes, "rep").select("band", "key", "block").distinct()
-    meets = blocks.join(blocks.withColumnRenamed("block", "high"), ["band", "key"]).filter("block <= high")
-    meets = meets.select(F.col("block").alias("low"), "high").distinct()
-    both = F.explode(F.array_distinct(F.array("low", "high"))).alias("block")
-    members = homes.join(meets.select("low", "high", both), "block")
+    # Blocks that share a bucket meet: the members of the smaller one are guests of the larger.
+    order = homes.groupBy("block").agg(F.count("*").alias("n")).select("block", F.struct("n", "block").alias("order"))
+    blocks = inside.join(homes, "rep").select("band", "key", "block").distinct().join(order, "block")
+    hosts = blocks.select("band", "key", F.col("block").alias("host"), F.col("order").alias("larger"))
+    meets = blocks.join(hosts, ["band", "key"]).filter("order < larger").select("block", "host").distinct()
+    guests = homes.join(meets, "block").select("host", "rep", F.lit(True).alias("guest"))
+    parts = guests.groupBy("host").agg(F.ceil(F.count("*") / GUESTS).cast("int").alias("parts"))
+    guests = guests.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("rep", F.lit(2)), "parts").cast("int"))
+    members = homes.withColumnRenamed("block", "host").join(parts, "host", "left")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    members = members.select("host", "rep", F.lit(False).alias("guest"), each)
+    seats = members.unionByName(guests.select("host", "rep", "guest", "part"))
     texts = texts.join(homes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
     known = texts.join(rooted.select("rep", "root", "sketch"), "rep")
-    spread = members.join(known, "rep").select("low", "high", "block", "rep", "root", "sketch", "text")
-    spread = spread.repartition("low", "high").sortWithinPartitions("low", "high")
+    spread = seats.join(known, "rep").select("host", "part", "guest", "rep", "root", "sketch", "text")
+    spread = spread.repartition("host", "part").sortWithinPartitions("host", "part", "guest")
     return spread.mapInArrow(_links_between, "a bigint, b bigint")
 
 
