@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierlake.llm import text as T
 
-KEPT_WORDS, KEPT_ARCS = 300_000, 2_000_000
+KEPT_WORDS, KEPT_ARCS = 120_000, 500_000
 
 
 def byte_letters() -> list[str]:
