@@ -32,6 +32,9 @@ CASTS = [
     ("Infinity", None, None, None, None),
     ("99999", None, 99999, 99999.0, None),
     ("9999999999999999999", None, None, 1e19, None),
+    ("1e400", None, None, None, None),
+    ("-1e999", None, None, None, None),
+    ("9" * 400, None, None, None, None),
     ("", None, None, None, None),
     ("  ", None, None, None, None),
     (None, None, None, None, None),
@@ -274,3 +277,10 @@ def test_empty_table(spark):
     assert gates.loaded(gated, contract).count() == 0
     assert checks.reconcile(gated, "t").first().bronze_rows == 0
     assert checks.key_violations(none, ["Country"]).first().total_rows == 0
+
+
+def test_region_summary_keeps_unnamed_entities(spark):
+    rows = [("R", "a", 10, 1), ("R", None, 20, 2), ("S", None, 5, 0)]
+    outbreak = spark.createDataFrame(rows, "who_region string, country_region string, confirmed bigint, deaths bigint")
+    found = marts.region_summary(outbreak).select("who_region", "countries_in_region", "region_total_confirmed").collect()
+    assert sorted(map(tuple, found)) == [("R", 0, 30), ("R", 1, 30), ("S", 0, 5)]

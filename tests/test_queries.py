@@ -29,4 +29,6 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == 25
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())

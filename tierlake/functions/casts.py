@@ -63,7 +63,8 @@ def cast_sql(
     if dtype in WHOLE_NUMBERS:
         number = _guarded(text, INTEGER_TEXT, dtype)
     elif dtype == "double":
-        number = _guarded(text, NUMBER_TEXT, dtype)
+        # Beyond the range of a double the cast gives infinity, which no rule would stop.
+        number = f"nullif(nullif({_guarded(text, NUMBER_TEXT, dtype)}, double('Infinity')), double('-Infinity'))"
     else:
         raise ValueError(f"no safe cast to {dtype!r}")
     if blank == "null":

@@ -37,19 +37,28 @@ def flag_first(
 ) -> DataFrame:
     """Add one boolean per subset: is this row the first of its key among the rows of the subset?
 
-    ``order`` must identify a row within its key. Rows outside a subset get false. With one numeric
-    order column, such as the ordinal stored at ingest, the aggregate hashes instead of sorting.
+    NULLs come first in ``order``. Rows of a key that share their place in it are told apart by a hash
+    of the whole row (see ``row_hash``), and of rows alike throughout one is taken: exactly one row
+    per key and subset is first. Rows outside a subset get false.
     """
     names = [f"_key{i}" for i in range(len(keys))]
-    keyed = df.withColumns(dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()})
+    keyed = df.withColumns(
+        dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()} | {"_tie": row_hash(df)}
+    ).withColumn("_at", F.struct(*order))
     hashed = F.xxhash64(*names).alias("_hash")
-    position = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    firsts = (
-        keyed.filter(" OR ".join(f"_in_{s}" for s in subsets))
-        .groupBy(hashed, *names)
-        .agg(*[F.min(F.when(F.col(f"_in_{s}"), position)).alias(f"_min_{s}") for s in subsets])
-    )
-    parts = ["_mark.at.*"] if len(order) > 1 else [F.col("_mark.at").alias(order[0])]
+    inside = keyed.filter(" OR ".join(f"_in_{s}" for s in subsets)).groupBy(hashed, *names)
+    if len(order) == 1:
+        # A plain minimum aggregates by hash, one of structs by sorting; it passes over NULLs, so they are counted.
+        column = F.col(order[0])
+        firsts = inside.agg(
+            *[F.min(F.when(F.col(f"_in_{s}"), column)).alias(f"_low_{s}") for s in subsets],
+            *[F.count_if(F.col(f"_in_{s}") & column.isNull()).alias(f"_nulls_{s}") for s in subsets],
+        )
+        lowest = {s: F.when(F.col(f"_nulls_{s}") == 0, F.col(f"_low_{s}")).alias(order[0]) for s in subsets}
+        exists = {s: (F.col(f"_nulls_{s}") > 0) | F.col(f"_low_{s}").isNotNull() for s in subsets}
+        firsts = firsts.select(*names, *[F.when(exists[s], F.struct(lowest[s])).alias(f"_min_{s}") for s in subsets])
+    else:
+        firsts = inside.agg(*[F.min(F.when(F.col(f"_in_{s}"), F.col("_at"))).alias(f"_min_{s}") for s in subsets])
     # One row per distinct first position of a key, with the subsets it is the first of.
     marks = [
         F.struct(
@@ -61,11 +70,20 @@ def flag_first(
     spots = (
         firsts.select(*names, F.explode(F.array_distinct(F.array(*marks))).alias("_mark"))
         .filter("_mark.at IS NOT NULL")
-        .select(*names, *parts, *[F.col(f"_mark.{s}").alias(s) for s in subsets])
+        .select(*names, F.col("_mark.at").alias("_at"), *[F.col(f"_mark.{s}").alias(s) for s in subsets])
     )
+    # The place first: it differs, so that comparing rows seldom goes on to the key texts. Structs are
+    # equal where their fields are equal or both NULL. The window needs the join's own partitioning.
+    alike = Window.partitionBy("_at", *names).orderBy("_tie").rowsBetween(Window.unboundedPreceding, 0)
+    among = {s: F.count_if(F.col(f"_in_{s}")).over(alike) for s in subsets}
     return (
-        # Order columns first: they differ, so that comparing rows seldom goes on to the key texts.
-        keyed.join(spots, [*order, *names], "left")
-        .withColumns({s: F.coalesce(F.col(s), F.lit(False)) & F.col(f"_in_{s}") for s in subsets})
-        .drop(*names)
+        keyed.join(spots, ["_at", *names], "left")
+        .withColumns({f"_nth_{s}": c for s, c in among.items()})
+        .withColumns({s: F.coalesce(F.col(s), F.lit(False)) & F.col(f"_in_{s}") & (F.col(f"_nth_{s}") == 1) for s in subsets})
+        .drop(*names, "_at", "_tie", *[f"_nth_{s}" for s in subsets])
     )
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Decides between rows of a key with equal places in the order."""
+    return F.xxhash64(*df.columns)

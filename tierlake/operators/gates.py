@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tierlake.contracts import Contract
 from tierlake.functions.casts import literal, trimmed
 from tierlake.functions.keys import snapshot_sql
-from tierlake.operators.dedupe import flag_first, keep_first
+from tierlake.operators.dedupe import flag_first, keep_first, row_hash
 
 UNACCOUNTED_CODE = "QG-006"
 UNACCOUNTED_REASON = "Row passes every gate but cannot be loaded"
@@ -29,7 +29,14 @@ def _failures(contract: Contract) -> list[str]:
 
 def assess(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Narrow pass: adds ``_failed``, the failures of all rules that look at one row alone."""
-    return bronze.withColumn("_failed", F.expr(f"array_compact(array({', '.join(_failures(contract))}))"))
+    fails = [rule.fails(contract) for rule in contract.rules]
+    return bronze.withColumn("_failed", F.expr(_listed(fails, _failures(contract))))
+
+
+def _listed(fails: list[str], failures: list[str]) -> str:
+    """The failures of a row; only rows that fail build them, others get an empty array from plain predicates."""
+    some = " OR ".join(f"coalesce({rule}, false)" for rule in fails)
+    return f"CASE WHEN {some} THEN array_compact(array({', '.join(failures)})) ELSE array() END"
 
 
 def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = False) -> DataFrame:
@@ -45,8 +52,9 @@ def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = F
         {first: F.expr(ranked), "_load": F.expr(loadable)},
     )
     repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot))
-    failures = [*_failures(contract), f"CASE WHEN _in_{first} AND NOT {first} THEN {repeated} END"]
-    failed = f"array_compact(array({', '.join(failures)}))"
+    duplicate = f"_in_{first} AND NOT {first}"
+    failures = [*_failures(contract), f"CASE WHEN {duplicate} THEN {repeated} END"]
+    failed = _listed([*[rule.fails(contract) for rule in contract.rules], duplicate], failures)
     if report_unaccounted:
         everything = snapshot_sql(tuple((name, name) for name in contract.source_columns))
         missing = f"CASE WHEN NOT _in__load THEN {_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything)} END"
@@ -81,7 +89,7 @@ def silver(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Typed silver rows straight from bronze, when the rejects are not wanted: one shuffle."""
     usable = bronze.filter(contract.duplicates.loaded(contract))
     keys = [F.expr(key) for key in contract.key_columns()]
-    return keep_first(usable, keys, list(contract.order)).selectExpr(*contract.silver_columns())
+    return keep_first(usable, keys, [*contract.order, row_hash(bronze)]).selectExpr(*contract.silver_columns())
 
 
 def mark_known(bronze: DataFrame, column: str, codes: DataFrame, name: str = "_known") -> DataFrame:

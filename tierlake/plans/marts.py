@@ -18,8 +18,6 @@ PROFILE_COLUMNS = (
 )
 FULL_ONLY = ("population", "pct_expenditure", "measles", "thinness_1_19_years", "thinness_5_9_years")
 
-REPEAT_BLOCK = 10_000
-
 
 def country_profile(panel: DataFrame, variant: str = "full") -> DataFrame:
     """One row per entity: its latest year."""
@@ -130,22 +128,9 @@ def region_summary(outbreak: DataFrame, corrected: bool = False, digits: int | N
         F.sum("peak_deaths").alias("region_total_deaths"),
         mean.alias("avg_cfr_pct"),
     )
-    return totals if corrected else _one_per_entity(totals)
-
-
-def _one_per_entity(totals: DataFrame) -> DataFrame:
-    """The rows of a region's entities are all alike, so its totals are repeated; nothing is joined.
-
-    Repeats are made block by block, which bounds the arrays that are exploded.
-    """
-    last_block = (F.col("countries_in_region") - 1) / REPEAT_BLOCK
-    blocks = totals.filter("countries_in_region > 0").withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last_block)))
-    )
-    left = F.col("countries_in_region") - F.col("_block") * REPEAT_BLOCK
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(left, F.lit(REPEAT_BLOCK).cast("bigint"))))
-    return blocks.withColumn("_copy", copies).select(
-        "who_region",
-        F.lit(1).cast("bigint").alias("countries_in_region"),
-        "region_total_confirmed", "region_total_deaths", "avg_cfr_pct",
-    )
+    if corrected:
+        return totals
+    # One row per entity, an unnamed one included: it counts 0 entities, as published.
+    repeated = totals.drop("countries_in_region").withColumnRenamed("who_region", "_region")
+    entities = per_entity.select("who_region", F.col("country_region").isNotNull().cast("bigint").alias("countries_in_region"))
+    return entities.join(repeated, entities["who_region"].eqNullSafe(repeated["_region"])).drop("_region")

@@ -23,7 +23,8 @@ def whole(x: str, kind: str) -> str:
 
 
 def number(x: str) -> str:
-    return f"(CASE WHEN regexp_matches(trim({x}), '{NUMBER}') THEN TRY_CAST(trim({x}) AS DOUBLE) END)"
+    value = f"TRY_CAST(trim({x}) AS DOUBLE)"
+    return f"(CASE WHEN regexp_matches(trim({x}), '{NUMBER}') AND isfinite({value}) THEN {value} END)"
 
 
 def day(x: str) -> str:
