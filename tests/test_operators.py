@@ -66,7 +66,7 @@ def test_dense_index(skewed):
     assert ranking.dense_index(skewed.limit(0), [F.col("n")]).count() == 0
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_scores": 0, "heavy_rows": 100}])
+@pytest.mark.parametrize("limits", [{}, {"heavy_rows": 100}])
 def test_rank_by_score(skewed, limits):
     scored = skewed.withColumn("v", F.when(F.col("k") == "hot", F.lit(25)).when(F.col("v") > 2, F.col("v")))
     got = ranking.rank_by_score(scored, "v", "r", ["n"], partitions=5, **limits)
@@ -74,7 +74,7 @@ def test_rank_by_score(skewed, limits):
     assert rows(got.select("r", "k", "v", "n")) == rows(naive.select("r", "k", "v", "n"))
 
 
-@pytest.mark.parametrize("heavy_rows", [100, 10**9])
+@pytest.mark.parametrize("heavy_rows", [100, 10**9, None])
 def test_spread_left_join(spark, skewed, heavy_rows):
     left = skewed.withColumn("k", F.when(F.col("v") > 3, F.col("k")))
     right = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("k1", "c"), ("none", "d")], "k string, w string")

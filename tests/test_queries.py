@@ -13,6 +13,14 @@ def con(sf_dir):
     return compare.duck(sf_dir)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def generated_code(spark):
+    """Queries run as they do outside of tests, with whole-stage code generation."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 # Physical operators that multiply rows, gather them in Python, or run row by row.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 

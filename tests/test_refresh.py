@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import dataclasses
 import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
 import demo
+from tierlake import scratch
 from tierlake.contracts import WIDE_IDS, capacity_contract, panel_contract
 from tierlake.operators.checks import KeyViolation
 from tierlake.plans import reports
+from tierlake.plans.lake_reports import lake_reports
 from tierlake.plans.refresh import Inputs, Refresh
 from tierlake.sinks.tables import LOG_TABLE, REJECT_TABLE, Lake, session_views
 from tierlake.sources import delimited
@@ -130,6 +133,69 @@ def test_demo_refresh(spark, files, tmp_path):
     assert len(lake.table(reports.GOLD_SCORECARD).columns) == 23
 
 
+def test_reports_of_the_lake(spark, files, refreshed):
+    lake, _ = refreshed
+    rows = {name: df.collect() for name, df in lake_reports(Refresh(lake)).items()}
+    assert len(rows) == 17
+    assert [r.rows_loaded for r in rows["load_summary"]] == [14, 15, 12]
+    assert sum(r.total_rejected for r in rows["rejects_per_table"]) == 7
+    assert len(rows["scorecard_listing"]) == 7 and len(rows["bronze_profile"]) == 3
+    ranks = [r.rank_no for r in rows["score_ranking"]]
+    assert ranks == sorted(ranks)
+    lives = [r.life_expectancy for r in rows["longest_lived"]]
+    assert lives == sorted(lives, reverse=True)
+
+
+@pytest.mark.parametrize("stage", ["land_files", "clean_one", "publish"])
+def test_a_failed_run_keeps_log_and_rejects(lake, files, stage, monkeypatch):
+    def fail(*_):
+        raise RuntimeError(stage)
+
+    before = [lake.table(t).orderBy(k).collect() for t, k in ((LOG_TABLE, "log_id"), (REJECT_TABLE, "reject_id"))]
+    monkeypatch.setattr(Refresh, stage, fail)
+    with pytest.raises(RuntimeError):
+        Refresh(lake).run(files)
+    after = [lake.table(t).orderBy(k).collect() for t, k in ((LOG_TABLE, "log_id"), (REJECT_TABLE, "reject_id"))]
+    assert before == after
+
+
+def test_a_swap_that_stopped_is_undone(spark):
+    lake = Lake(spark, "swap_")
+    lake.bootstrap()
+    lake.replace(spark.range(3), "gold.t")
+    lake._rename("gold.t", "gold.t__replaced")
+    lake.bootstrap()
+    assert lake.table("gold.t").count() == 3
+    with pytest.raises(Exception):
+        lake.promote("gold.missing", "gold.t")
+    assert lake.table("gold.t").count() == 3
+    assert lake.replace(spark.range(5), "gold.t") == 5
+    assert lake.table("gold.t").count() == 5 and not lake.exists("gold.t__replaced")
+
+
+def test_stored_gate_outcomes_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "_root", lambda _: str(tmp_path))
+    with pytest.raises(ValueError):
+        with scratch.temporary(spark.range(4), "gated") as rows:
+            assert rows.count() == 4
+            raise ValueError
+    assert not list(tmp_path.iterdir())
+
+
+def test_wide_file_with_another_year_and_a_long_name(spark, files, tmp_path):
+    header, lines = WIDE_HEADER + "|2020", [line + "|7.5" for line in wide_lines()]
+    lines.append("|".join(["x" * 301, "XXX", "beds", "SH.MED.BEDS.ZS", *["1.0"] * 61]))
+    path = write(tmp_path / "wide.txt", header, lines)
+    lake = Lake(spark, "wide_")
+    run = Refresh(lake)
+    run.start()
+    run.land_files(dataclasses.replace(files, capacity=path))
+    run.finish()
+    rows = lake.table("bronze.hospital_capacity")
+    assert rows.count() == 12 + len(lines) - 1 and rows.filter("Year = '2020'").count() == len(lines) - 1
+    assert [r.reason_code for r in lake.table(REJECT_TABLE).collect()] == ["QG-000"]
+
+
 def load_outbreak(spark, prefix, lines, folder, allowed):
     lake = Lake(spark, prefix)
     run = Refresh(lake)
@@ -137,7 +203,9 @@ def load_outbreak(spark, prefix, lines, folder, allowed):
     run.start()
     path = write(folder / "outbreak.csv", OUTBREAK_HEADER, lines)
     frame = delimited.read_contract(spark, path, run.outbreak)
-    return lake, run.land(frame, run.outbreak, 1, path, delimited.is_malformed(run.outbreak))
+    loaded = run.land(frame, run.outbreak, 1, path, delimited.is_malformed(run.outbreak))
+    run.finish()
+    return lake, loaded
 
 
 def test_bad_rows_within_tolerance(spark, tmp_path):
@@ -155,6 +223,7 @@ def test_too_many_bad_rows_keep_the_old_table(spark, tmp_path):
         load_outbreak(spark, "worse_", ["a,b", *plain(demo.OUTBREAK)[:1]], tmp_path, 0)
     assert lake.table("bronze.disease_outbreaks").count() == 15
     assert not spark.catalog.tableExists("worse_bronze.disease_outbreaks__loading")
+    assert lake.table(LOG_TABLE).count() == 1
 
 
 def test_key_assertion_stops_the_load(spark, files, tmp_path):

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import argparse
 
-from tierlake.plans import reports
+from tierlake.plans.lake_reports import lake_reports
 from tierlake.plans.refresh import Inputs, Refresh
 from tierlake.session import build_session
-from tierlake.sinks.tables import REJECT_TABLE, Lake
+from tierlake.sinks.tables import Lake
 
 
 def main() -> None:
@@ -25,6 +25,7 @@ def main() -> None:
     parser.add_argument("--trailing", action="store_true", help="every row of a wide file ends with a separator")
     parser.add_argument("--variant", choices=("full", "demo"), default="full")
     parser.add_argument("--prefix", default="", help="put before the four database names")
+    parser.add_argument("--rows", type=int, default=50, help="rows of each report to print")
     args = parser.parse_args()
 
     run = Refresh(Lake(build_session(), args.prefix), args.variant)
@@ -32,9 +33,9 @@ def main() -> None:
         run.capacity = run.capacity.with_options(separator=args.separator)
     wide = None if args.long else {"trailing_separator": args.trailing}
     checked = run.run(Inputs(args.panel, args.outbreak, args.capacity, wide))
-    run.lake.load_summary().show(truncate=False)
-    reports.gate_summary(run.lake.table(REJECT_TABLE)).show(truncate=False)
-    checked.show(truncate=False)
+    for name, rows in (lake_reports(run) | {"reconciliation": checked}).items():
+        print(name)
+        rows.show(args.rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -16,13 +16,17 @@ UNACCOUNTED_CODE = "QG-006"
 UNACCOUNTED_REASON = "Row passes every gate but cannot be loaded"
 
 
-def _failure(code: str, reason: str, text: str) -> str:
-    return f"named_struct('code', {literal(code)}, 'reason', {literal(reason)}, 'snapshot', {text})"
+def _failure(code: str, reason: str, text: str | None) -> str:
+    shown = f", 'snapshot', {text}" if text else ""
+    return f"named_struct('code', {literal(code)}, 'reason', {literal(reason)}{shown})"
 
 
-def _failures(contract: Contract) -> list[str]:
+def _failures(contract: Contract, snapshots: bool = True) -> list[str]:
+    def shown(rule) -> str | None:
+        return snapshot_sql(rule.snapshot) if snapshots else None
+
     return [
-        f"CASE WHEN {rule.fails(contract)} THEN {_failure(rule.code, rule.reason, snapshot_sql(rule.snapshot))} END"
+        f"CASE WHEN {rule.fails(contract)} THEN {_failure(rule.code, rule.reason, shown(rule))} END"
         for rule in contract.rules
     ]
 
@@ -39,8 +43,13 @@ def _listed(fails: list[str], failures: list[str]) -> str:
     return f"CASE WHEN {some} THEN array_compact(array({', '.join(failures)})) ELSE array() END"
 
 
-def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = False) -> DataFrame:
-    """Adds ``_failed`` (all failures, duplicates included) and ``_load`` (goes to silver)."""
+def evaluate(
+    bronze: DataFrame, contract: Contract, report_unaccounted: bool = False, snapshots: bool = True
+) -> DataFrame:
+    """Adds ``_failed`` (all failures, duplicates included) and ``_load`` (goes to silver).
+
+    Without ``snapshots`` failures carry code and reason only, enough to count them.
+    """
     gate = contract.duplicates
     ranked, loadable = gate.ranked(contract), gate.loaded(contract)
     # Where both rankings cover the same rows, one serves for both.
@@ -51,19 +60,21 @@ def evaluate(bronze: DataFrame, contract: Contract, report_unaccounted: bool = F
         contract.order,
         {first: F.expr(ranked), "_load": F.expr(loadable)},
     )
-    repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot))
+    repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot) if snapshots else None)
     duplicate = f"_in_{first} AND NOT {first}"
-    failures = [*_failures(contract), f"CASE WHEN {duplicate} THEN {repeated} END"]
+    failures = [*_failures(contract, snapshots), f"CASE WHEN {duplicate} THEN {repeated} END"]
     failed = _listed([*[rule.fails(contract) for rule in contract.rules], duplicate], failures)
     if report_unaccounted:
-        everything = snapshot_sql(tuple((name, name) for name in contract.source_columns))
+        everything = snapshot_sql(tuple((name, name) for name in contract.source_columns)) if snapshots else None
         missing = f"CASE WHEN NOT _in__load THEN {_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything)} END"
         failed = f"CASE WHEN size({failed}) > 0 THEN {failed} ELSE array_compact(array({missing})) END"
     return flagged.withColumn("_failed", F.expr(failed)).drop("_in__first", "_in__load", "_first")
 
 
-def rejects(gated: DataFrame, contract: Contract, keep_row: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per failure. ``keep_row`` adds the whole raw row as JSON, for reprocessing."""
+def rejects(
+    gated: DataFrame, contract: Contract, keep_row: bool = False, extra: tuple[str, ...] = (), snapshots: bool = True
+) -> DataFrame:
+    """One row per failure. ``keep_row`` adds the whole raw row as JSON, for reprocessing; ``snapshots`` as in ``evaluate``."""
     raw = [F.to_json(F.struct(*contract.source_columns)).alias("raw_row")] if keep_row else []
     return gated.filter(F.size("_failed") > 0).select(
         *extra,
@@ -75,7 +86,7 @@ def rejects(gated: DataFrame, contract: Contract, keep_row: bool = False, extra:
         "source_table",
         F.col("_f.code").alias("reason_code"),
         F.col("_f.reason").alias("reject_reason"),
-        F.col("_f.snapshot").alias("raw_snapshot"),
+        *([F.col("_f.snapshot").alias("raw_snapshot")] if snapshots else []),
         *(["raw_row"] if keep_row else []),
     )
 

@@ -6,28 +6,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with more left rows than this is spread over SALTS tasks. The list of such keys has at most
-# (left rows / HEAVY_ROWS) entries, which bounds the broadcast of the list.
-HEAVY_ROWS = 2_000_000
+from tierlake import scratch
+
 SALTS = 32
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fair_share(rows: int, df: DataFrame) -> int:
+    """Rows of one shuffle partition if all were even. Fewer keys than partitions can hold more, however large the table."""
+    return max(1, rows // shuffle_partitions(df))
+
+
 def spread_left_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     spread_by: Sequence[str],
     heavy: DataFrame | None = None,
-    heavy_rows: int = HEAVY_ROWS,
+    heavy_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join on ``key`` whose heavy keys are split over ``salts`` tasks; the result is exact.
 
     ``spread_by`` are left columns that differ among the rows of one key. ``heavy`` (one column,
-    named as the key) lists the heavy keys where the caller knows them already.
+    named as the key) lists the heavy keys where the caller knows them already; otherwise ``left`` is stored,
+    and keys with more than a partition's fair share of its rows (or ``heavy_rows``) count as heavy. That list is
+    shorter than the number of partitions, which bounds its broadcast.
     """
     if heavy is None:
-        heavy = left.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > heavy_rows).select(key)
+        left = scratch.stored(left, "left")
+        limit = heavy_rows or fair_share(left.count(), left)
+        counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        heavy = scratch.stored(counts.filter(F.col("_rows") > limit).select(key), "hot")
     hot = F.broadcast(heavy.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     # Rows without a key find no partner wherever they are, so they are spread as well.

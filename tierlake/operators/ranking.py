@@ -7,24 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierlake import scratch
-from tierlake.operators.joins import HEAVY_ROWS, spread_left_join
+from tierlake.operators.joins import fair_share, shuffle_partitions, spread_left_join
 
 # monotonically_increasing_id() holds the partition in its upper bits and the row's position
 # within the partition in the lower 33.
 POSITION_BITS = 33
 POSITION_MASK = (1 << POSITION_BITS) - 1
 
-# Ranks of up to this many distinct scores (about 30 bytes each) are broadcast, more are shuffled.
-BROADCAST_SCORES = 500_000
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
 
 def _placed(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
     """Range-partitioned and sorted rows with their partition and position, fixed by a checkpoint."""
-    ranged = df.repartitionByRange(partitions or _partitions(df), *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(partitions or shuffle_partitions(df), *order).sortWithinPartitions(*order)
     return scratch.checkpointed(ranged.withColumn("_slot", F.monotonically_increasing_id())).withColumn(
         "_part", F.shiftright("_slot", POSITION_BITS)
     )
@@ -62,8 +55,7 @@ def rank_by_score(
     name: str,
     spread_by: Sequence[str],
     partitions: int | None = None,
-    broadcast_scores: int = BROADCAST_SCORES,
-    heavy_rows: int = HEAVY_ROWS,
+    heavy_rows: int | None = None,
 ) -> DataFrame:
     """Rows with a score and their rank (ties share one, gaps follow), highest score first.
 
@@ -72,9 +64,6 @@ def rank_by_score(
     """
     scored = df.filter(F.col(score).isNotNull())
     ranks = scratch.checkpointed(score_ranks(scored, score, name, partitions))
-    if ranks.count() <= broadcast_scores:
-        joined = scored.join(F.broadcast(ranks), score)
-    else:
-        heavy = ranks.filter(F.col("_rows") > heavy_rows).select(score)
-        joined = spread_left_join(scored, ranks, score, spread_by, heavy)
-    return joined.select(name, *df.columns)
+    limit = heavy_rows or fair_share(ranks.agg(F.sum("_rows")).first()[0] or 0, df)
+    heavy = ranks.filter(F.col("_rows") > limit).select(score)
+    return spread_left_join(scored, ranks.drop("_rows"), score, spread_by, heavy).select(name, *df.columns)

@@ -13,7 +13,7 @@ from tierlake.operators.checks import assert_keys, reconcile
 from tierlake.operators.profiles import stacked
 from tierlake.plans import marts, reports
 from tierlake.plans.scorecard import SCORECARD_KEY, scorecard
-from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, REJECT_SCHEMA, Lake
+from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, REJECT_SCHEMA, REJECT_TABLE, RUNNING, Lake
 from tierlake.sources import delimited
 
 LOAD_CODE = "QG-000"
@@ -56,12 +56,19 @@ class Refresh:
         self.land_files(inputs)
         checked = self.clean()
         self.publish()
+        self.finish()
         return checked
 
     def start(self) -> None:
+        """Log and rejects of this run gather beside the last run's, which stay until this one ends well."""
         self.lake.bootstrap()
-        self.lake.empty(LOG_SCHEMA, LOG_TABLE)
-        self.lake.empty(REJECT_SCHEMA, "quarantine.rejected_rows")
+        self.lake.empty(LOG_SCHEMA, LOG_TABLE + RUNNING)
+        self.lake.empty(REJECT_SCHEMA, REJECT_TABLE + RUNNING)
+
+    def finish(self) -> None:
+        """This run's log and rejects take the place of the last run's."""
+        self.lake.promote(LOG_TABLE + RUNNING, LOG_TABLE)
+        self.lake.promote(REJECT_TABLE + RUNNING, REJECT_TABLE)
 
     # -- bronze -------------------------------------------------------------------------------
 
@@ -76,8 +83,10 @@ class Refresh:
                 self.land(frame, contract, log_id, path, delimited.is_malformed(contract))
             else:
                 options = {"separator": contract.separator} | wide
+                options.setdefault("years", delimited.header_years(spark, path, options["separator"]))
                 frame = delimited.read_wide(spark, path, **options)
-                self.land(frame, contract, log_id, path, delimited.is_malformed(), wide=True)
+                bad = delimited.is_malformed_wide(contract, options["years"])
+                self.land(frame, contract, log_id, path, bad, wide=True)
 
     def land(
         self, frame: DataFrame, contract: Contract, log_id: int, path: str, bad: Column, wide: bool = False
@@ -102,8 +111,11 @@ class Refresh:
                 F.lit(LOAD_REASON).alias("reject_reason"),
                 F.coalesce(delimited.CORRUPT, whole).alias("raw_snapshot"),
             )
-            self.lake.append_rejects(skipped)
-        self.lake.log_load(log_id, contract.bronze_table, path.rsplit("/", 1)[-1], 0, loaded, contract.load_note)
+            self.lake.append_rejects(skipped, table=REJECT_TABLE + RUNNING)
+        src_file = path.rsplit("/", 1)[-1]
+        self.lake.log_load(
+            log_id, contract.bronze_table, src_file, 0, loaded, contract.load_note, LOG_TABLE + RUNNING
+        )
         return loaded
 
     # -- silver -------------------------------------------------------------------------------
@@ -114,18 +126,20 @@ class Refresh:
     def clean_one(self, contract: Contract) -> DataFrame:
         """Gate one bronze table once; silver and quarantine both read the stored outcome."""
         bronze = self.lake.table(contract.bronze_table)
-        gated = scratch.stored(gates.evaluate(bronze, contract, self.report_unaccounted), "gated")
         required = [f.target for f in contract.fields if f.required]
 
         def sound(df: DataFrame) -> None:
             if contract.silver_key_enforced:
                 assert_keys(df, contract.silver_key, required, contract.silver_table)
 
-        silver = gates.loaded(gated, contract).withColumn("_silver_loaded", F.current_timestamp())
-        self.lake.replace(silver, contract.silver_table, sound)
-        rejected = gates.rejects(gated, contract, keep_row=True, extra=contract.order)
-        self.lake.append_rejects(rejected, contract.order)
-        return reconcile(gated, contract.bronze_table)
+        with scratch.temporary(gates.evaluate(bronze, contract, self.report_unaccounted), "gated") as gated:
+            silver = gates.loaded(gated, contract).withColumn("_silver_loaded", F.current_timestamp())
+            self.lake.replace(silver, contract.silver_table, sound)
+            rejected = gates.rejects(gated, contract, keep_row=True, extra=contract.order)
+            self.lake.append_rejects(rejected, contract.order, REJECT_TABLE + RUNNING)
+            checked = reconcile(gated, contract.bronze_table)
+            # One row, which outlives the stored outcome.
+            return self.lake.spark.createDataFrame(checked.collect(), checked.schema)
 
     # -- gold ---------------------------------------------------------------------------------
 

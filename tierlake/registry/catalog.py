@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierlake import scratch
 from tierlake.contracts import BEDS, PANEL_FIELDS, WIDE_IDS
@@ -15,6 +16,7 @@ from tierlake.operators import checks, gates, joins, profiles, ranking
 from tierlake.plans import marts, reports
 from tierlake.plans.scorecard import scorecard
 from tierlake.registry import expected as x
+from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, REJECT_SCHEMA, REJECT_TABLE, Lake
 from tierlake.sources import delimited, star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,17 +52,30 @@ def card(spark: SparkSession, d: str, grain: str = "nation", variant: str = "ful
     )
 
 
-def evaluated(spark: SparkSession, d: str) -> list[tuple]:
-    """Contract and evaluated frame of each raw table."""
+def raw(spark: SparkSession, d: str) -> list[tuple]:
+    """Contract and rows of each raw table."""
     return [
-        (star.panel(), gates.evaluate(star.panel_bronze(spark, d), star.panel())),
-        (star.outbreak(), gates.evaluate(star.outbreak_bronze(spark, d), star.outbreak())),
-        (star.capacity(), gates.evaluate(star.capacity_bronze(spark, d, "customer"), star.capacity())),
+        (star.panel(), star.panel_bronze(spark, d)),
+        (star.outbreak(), star.outbreak_bronze(spark, d)),
+        (star.capacity(), star.capacity_bronze(spark, d, "customer")),
     ]
 
 
-def rejected(spark: SparkSession, d: str) -> DataFrame:
-    return profiles.stacked([gates.rejects(gated, contract) for contract, gated in evaluated(spark, d)])
+def evaluated(spark: SparkSession, d: str, snapshots: bool = True) -> list[tuple]:
+    """Contract and evaluated frame of each raw table."""
+    return [(contract, gates.evaluate(bronze, contract, snapshots=snapshots)) for contract, bronze in raw(spark, d)]
+
+
+def rejected(spark: SparkSession, d: str, snapshots: bool = True) -> DataFrame:
+    found = evaluated(spark, d, snapshots)
+    return profiles.stacked([gates.rejects(gated, contract, snapshots=snapshots) for contract, gated in found])
+
+
+def new_lake(spark: SparkSession) -> Lake:
+    """An empty lake of its own in the shared folder."""
+    lake = Lake(spark, f"run_{uuid.uuid4().hex}_")
+    lake.bootstrap(scratch.folder(spark, "lake"))
+    return lake
 
 
 # -- sources -----------------------------------------------------------------------------------
@@ -137,20 +152,46 @@ def ingest_wide_csv(spark: SparkSession, d: str) -> DataFrame:
        UNION ALL SELECT 'bronze.hospital_capacity', 0, count(*), count(*) FROM capacity_raw_c"""
 )
 def ingestion_log(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per load, observed while the raw tables are written."""
-    entries = []
-    for contract, frame in (
-        (star.panel(), star.panel_bronze(spark, d)),
-        (star.outbreak(), star.outbreak_bronze(spark, d)),
-        (star.capacity(), star.capacity_bronze(spark, d, "customer")),
-    ):
-        seen = Observation()
-        rows = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.parquet(scratch.folder(spark, "bronze"))
-        entries.append((contract.bronze_table, 0, seen.get["rows"], seen.get["rows"]))
-    return spark.createDataFrame(
-        entries, "table_name string, rows_before bigint, rows_after bigint, rows_loaded bigint"
-    )
+    """Three loads into an empty lake, and the log they leave."""
+    return landed(spark, d).table(LOG_TABLE).select("table_name", "rows_before", "rows_after", "rows_loaded")
+
+
+def landed(spark: SparkSession, d: str) -> Lake:
+    lake = new_lake(spark)
+    lake.empty(LOG_SCHEMA, LOG_TABLE)
+    for log_id, (contract, frame) in enumerate(raw(spark, d), start=1):
+        rows = lake.replace(frame, contract.bronze_table)
+        lake.log_load(log_id, contract.bronze_table, f"{contract.label}.csv", 0, rows, contract.load_note)
+    return lake
+
+
+@query(
+    """SELECT 'bronze.who_health_indicators' AS table_name, count(*) AS rows_loaded FROM panel_raw
+       UNION ALL SELECT 'bronze.disease_outbreaks', count(*) FROM outbreak_raw
+       UNION ALL SELECT 'bronze.hospital_capacity', count(*) FROM capacity_raw_c"""
+)
+def load_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of three loads; the time of a load differs from run to run and is left out."""
+    return landed(spark, d).load_summary().select("table_name", "rows_loaded")
+
+
+@query(
+    """SELECT source_table, count(*) AS rejected_rows, count(DISTINCT id) AS distinct_ids, min(id) AS first_id,
+              max(id) AS last_id
+       FROM (SELECT source_table, row_number() OVER (ORDER BY CASE source_table
+                 WHEN 'bronze.who_health_indicators' THEN 1 WHEN 'bronze.disease_outbreaks' THEN 2 ELSE 3 END) AS id
+             FROM rejected) GROUP BY source_table"""
+)
+def reject_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Rejects of three tables appended one after the other: ids go on without gaps."""
+    lake = new_lake(spark)
+    lake.empty(REJECT_SCHEMA, REJECT_TABLE)
+    for contract, gated in evaluated(spark, d):
+        lake.append_rejects(gates.rejects(gated, contract, extra=contract.order), contract.order)
+    return lake.table(REJECT_TABLE).groupBy("source_table").agg(
+        F.count(F.lit(1)).alias("rejected_rows"), F.count_distinct("reject_id").alias("distinct_ids"),
+        F.min("reject_id").alias("first_id"), F.max("reject_id").alias("last_id"),
+    )
 
 
 # -- bronze ------------------------------------------------------------------------------------
@@ -341,12 +382,12 @@ def quarantine_rows(spark: SparkSession, d: str) -> DataFrame:
        GROUP BY ALL ORDER BY source_table, reason_code"""
 )
 def gate_summary(spark: SparkSession, d: str) -> DataFrame:
-    return reports.gate_summary(rejected(spark, d))
+    return reports.gate_summary(rejected(spark, d, snapshots=False))
 
 
 @query("SELECT source_table, count(*) AS total_rejected FROM rejected GROUP BY ALL ORDER BY source_table")
 def rejects_per_table(spark: SparkSession, d: str) -> DataFrame:
-    return reports.rejects_per_table(rejected(spark, d))
+    return reports.rejects_per_table(rejected(spark, d, snapshots=False))
 
 
 @query(
@@ -373,7 +414,7 @@ def rejects_per_table(spark: SparkSession, d: str) -> DataFrame:
 )
 def reconcile(spark: SparkSession, d: str) -> DataFrame:
     return profiles.stacked(
-        [checks.reconcile(gated, contract.bronze_table) for contract, gated in evaluated(spark, d)]
+        [checks.reconcile(gated, contract.bronze_table) for contract, gated in evaluated(spark, d, snapshots=False)]
     )
 
 

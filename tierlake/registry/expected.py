@@ -7,8 +7,22 @@ from __future__ import annotations
 
 import re
 
-from tierlake.contracts import BEDS, REASONS
-from tierlake.functions.scores import CAPACITY_REST, CAPACITY_STEPS
+# Fixed values, stated apart from the code that they check: texts of the published rules, a column name.
+REASONS = {
+    "panel country": "Country is NULL or empty – primary geographic key missing",
+    "panel year missing": "Year is NULL – time dimension key missing",
+    "panel year range": "Year outside valid dataset range (2000-2015)",
+    "panel duplicate": "Duplicate Country+Year – only first-ingested row retained",
+    "outbreak country": "Country/Region is NULL or empty – geographic key missing",
+    "outbreak date": "Date value cannot be parsed as a valid calendar date",
+    "outbreak duplicate": "Duplicate Country+Province+Date – first-ingested row retained",
+    "outbreak counts": "Confirmed or Deaths contains non-numeric text – cannot cast to BIGINT",
+    "capacity keys": "Entity (country name) or Code (ISO) is NULL or empty",
+    "capacity code": "Country Code is not a valid 3-letter ISO 3166-1 Alpha-3 code",
+    "capacity year": "Year cannot be parsed or is outside valid range (1960-2024)",
+    "capacity duplicate": "Duplicate Code+Year – first-ingested row retained",
+}
+BEDS = "Hospital beds (per 1,000 people)"
 
 WHOLE, NUMBER = r"^[+-]?[0-9]+$", r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
@@ -53,8 +67,8 @@ def reason(name: str) -> str:
 
 
 def tier(x: str) -> str:
-    (high, top), (low, middle) = CAPACITY_STEPS
-    return f"CASE WHEN {x} >= {high} THEN '{top}' WHEN {x} >= {low} THEN '{middle}' ELSE '{CAPACITY_REST}' END"
+    return f"""CASE WHEN {x} >= 3.0 THEN 'Above WHO Recommended' WHEN {x} >= 1.0 THEN 'Near WHO Threshold'
+                 ELSE 'Below WHO Threshold' END"""
 
 
 PARTS: dict[str, str] = {}

@@ -6,9 +6,11 @@ when that is unset and Spark itself runs on one machine, as in tests.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def temporary(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """As ``stored``, for readers inside of the block; the files go at its end, also after a failure."""
+    spark = df.sparkSession
+    path = folder(spark, purpose)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

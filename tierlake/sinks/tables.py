@@ -14,6 +14,8 @@ from tierlake.operators.ranking import dense_index
 LAYERS = ("bronze", "silver", "gold", "quarantine")
 REJECT_TABLE = "quarantine.rejected_rows"
 LOG_TABLE = "bronze.ingestion_log"
+# Endings of tables that are being written, replaced, or gathered by a run that has not ended.
+LOADING, REPLACED, RUNNING = "__loading", "__replaced", "__running"
 
 REJECT_SCHEMA = T.StructType(
     [
@@ -53,37 +55,71 @@ class Lake:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
-    def bootstrap(self) -> None:
+    def bootstrap(self, folder: str | None = None) -> None:
+        """Create the databases (in ``folder`` if given), and put back tables that a crash left under their old name."""
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
+            place = f" LOCATION '{folder}/{layer}'" if folder else ""
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}{place}")
+            for found in self.spark.catalog.listTables(f"{self.prefix}{layer}"):
+                if found.name.endswith(REPLACED):
+                    self.recover(f"{layer}.{found.name.removesuffix(REPLACED)}")
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(table))
+
+    def recover(self, table: str) -> None:
+        """Undo a swap that stopped half-way."""
+        if self.exists(table + REPLACED) and not self.exists(table):
+            self._rename(table + REPLACED, table)
+
+    def _rename(self, table: str, to: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(to)}")
+
+    def _drop(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+
+    def promote(self, fresh: str, table: str) -> None:
+        """Give a finished table its name. The old one is only dropped once the new one is in place."""
+        self.recover(table)
+        self._drop(table + REPLACED)
+        if self.exists(table):
+            self._rename(table, table + REPLACED)
+        try:
+            self._rename(fresh, table)
+        except Exception:
+            self.recover(table)
+            raise
+        self._drop(table + REPLACED)
 
     def replace(self, df: DataFrame, table: str, check: Callable[[DataFrame], None] | None = None) -> int:
         """Write beside the old table, check the result, then swap. Returns the number of rows.
 
         When the check raises, the old table stays and the new rows are removed.
         """
-        fresh = f"{self.name(table)}__loading"
+        fresh = table + LOADING
         counted = Observation()
         rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-        rows.write.mode("overwrite").saveAsTable(fresh)
+        self._drop(fresh)
+        rows.write.mode("overwrite").saveAsTable(self.name(fresh))
         if check is not None:
             try:
-                check(self.spark.table(fresh))
+                check(self.table(fresh))
             except Exception:
-                self.spark.sql(f"DROP TABLE {fresh}")
+                self._drop(fresh)
                 raise
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-        self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.name(table)}")
+        self.promote(fresh, table)
         return counted.get["rows"]
 
     def empty(self, schema: T.StructType, table: str) -> None:
         self.replace(self.spark.createDataFrame([], schema), table)
 
-    def append_rejects(self, rejected: DataFrame, order: tuple[str, ...] = ()) -> int:
-        """Number the rejects on from the last id and append them; columns beyond the schema only order."""
-        last = self.table(REJECT_TABLE).agg(F.max("reject_id")).first()[0] or 0
-        named = ["source_table", "reason_code", "raw_snapshot", *order]
+    def append_rejects(self, rejected: DataFrame, order: tuple[str, ...] = (), table: str = REJECT_TABLE) -> int:
+        """Number the rejects on from the last id and append them; columns beyond the schema only order.
+
+        ``order`` identifies a raw row, so it and the code number all failures; without it the texts do.
+        """
+        last = self.table(table).agg(F.max("reject_id")).first()[0] or 0
+        named = [*order, "reason_code"] if order else ["source_table", "reason_code", "raw_snapshot"]
         numbered = dense_index(rejected, [F.col(c).asc_nulls_first() for c in named], "reject_id")
         counted = Observation()
         rows = numbered.select(
@@ -91,14 +127,16 @@ class Lake:
             *[c if c in rejected.columns else F.lit(None).cast("string").alias(c) for c in REJECT_SCHEMA.names[1:6]],
             F.current_timestamp().alias("rejected_at"),
         ).observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("append").saveAsTable(self.name(REJECT_TABLE))
+        rows.write.mode("append").saveAsTable(self.name(table))
         return counted.get["rows"]
 
-    def log_load(self, log_id: int, table: str, src_file: str, before: int, after: int, note: str) -> None:
+    def log_load(
+        self, log_id: int, table: str, src_file: str, before: int, after: int, note: str, log: str = LOG_TABLE
+    ) -> None:
         """One row per load."""
         now = dt.datetime.now(dt.timezone.utc)
         row = (log_id, table, src_file, before, after, after - before, now, note)
-        self.spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").saveAsTable(self.name(LOG_TABLE))
+        self.spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").saveAsTable(self.name(log))
 
     def load_summary(self) -> DataFrame:
         columns = ("table_name", "src_file", "rows_loaded", "loaded_at", "notes")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tierlake.contracts import WIDE_IDS, WIDE_YEARS, Contract
 from tierlake.functions.keys import key_hash
-from tierlake.operators.reshape import unpivot_wide
+from tierlake.operators.reshape import YEAR_HEADER, unpivot_wide
 
 CORRUPT = "_corrupt_record"
 TRAILING = "_trailing"
@@ -63,6 +63,12 @@ def read_wide(spark: SparkSession, path: str | list[str], years: Sequence[str] =
     return read_delimited(spark, path, [*WIDE_IDS, *years], **options)
 
 
+def header_years(spark: SparkSession, path: str | list[str], separator: str) -> list[str]:
+    """The years that the first line of a wide file names; the default years where it names none."""
+    first = spark.read.option("sep", separator).option("escape", '"').csv(path).first() or ()
+    return [name.strip() for name in first if name and YEAR_HEADER.match(name.strip())] or list(WIDE_YEARS)
+
+
 def wide_to_long(wide: DataFrame, contract: Contract, years: Sequence[str] | None = None) -> DataFrame:
     """The contract's long columns from a wide frame; blank cells are dropped."""
     entity, code, period, value = contract.source_columns
@@ -76,10 +82,19 @@ def is_malformed(contract: Contract | None = None) -> Column:
     bad = F.col(CORRUPT).isNotNull()
     if contract is None:
         return bad
-    sized = [f for f in contract.fields if f.max_length]
-    return reduce(
-        lambda found, f: found | F.coalesce(F.length(f.source) > f.max_length, F.lit(False)), sized, bad
-    )
+    return _longer(bad, {f.source: f.max_length for f in contract.fields if f.max_length})
+
+
+def is_malformed_wide(contract: Contract, years: Sequence[str]) -> Column:
+    """The same for a wide file: its names, codes and cells have the declared lengths of the long columns."""
+    entity, code, _, value = contract.source_columns
+    declared = {f.source: f.max_length for f in contract.fields if f.max_length}
+    places = {entity: [WIDE_IDS[0]], code: [WIDE_IDS[1]], value: years}
+    return _longer(is_malformed(), {c: declared[s] for s, columns in places.items() if s in declared for c in columns})
+
+
+def _longer(bad: Column, lengths: dict[str, int]) -> Column:
+    return reduce(lambda found, c: found | F.coalesce(F.length(c) > lengths[c], F.lit(False)), lengths, bad)
 
 
 def well_formed(frame: DataFrame, bad: Column | None = None) -> DataFrame:

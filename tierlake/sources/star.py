@@ -59,16 +59,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def facts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A large table. When its files give fewer tasks than there are cores, the rows are spread first.
-
-    Real inputs have many splits and are read as they are, without a shuffle.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _text(value: str) -> str:
     return f"CAST({value} AS STRING)"
 
@@ -132,7 +122,7 @@ OUTBREAK_VALUES = {
 def panel_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation", with_file: bool = False) -> DataFrame:
     """One raw indicator row per order; ``with_file`` adds the name of the file it was read from."""
     _check(grain)
-    orders = facts(spark, sf_dir, "orders", "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     source = ("_src_file",) if with_file else ()
     if with_file:
         orders = orders.select("*", F.col("_metadata.file_name").alias("_src_file"))
@@ -150,7 +140,7 @@ def outbreak_bronze(spark: SparkSession, sf_dir: str, grain: str = "nation") ->
     """One raw count row per order line: by the supplier's nation, or by customer."""
     _check(grain)
     suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
-    rows = facts(spark, sf_dir, "lineitem", "l_orderkey").join(suppliers, "l_suppkey")
+    rows = table(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey")
     home, name = "s_nationkey", "n_name"
     if grain == "customer":
         orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS c_custkey")
