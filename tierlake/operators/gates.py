@@ -25,10 +25,7 @@ def _failures(contract: Contract, snapshots: bool = True) -> list[str]:
     def shown(rule) -> str | None:
         return snapshot_sql(rule.snapshot) if snapshots else None
 
-    return [
-        f"CASE WHEN {rule.fails(contract)} THEN {_failure(rule.code, rule.reason, shown(rule))} END"
-        for rule in contract.rules
-    ]
+    return [_failure(rule.code, rule.reason, shown(rule)) for rule in contract.rules]
 
 
 def assess(bronze: DataFrame, contract: Contract) -> DataFrame:
@@ -37,10 +34,14 @@ def assess(bronze: DataFrame, contract: Contract) -> DataFrame:
     return bronze.withColumn("_failed", F.expr(_listed(fails, _failures(contract))))
 
 
-def _listed(fails: list[str], failures: list[str]) -> str:
-    """The failures of a row; only rows that fail build them, others get an empty array from plain predicates."""
+def _listed(fails: list[str], failures: list[str], otherwise: str = "") -> str:
+    """The failures of a row; only rows that fail build them, others get an empty array from plain predicates.
+
+    ``otherwise`` adds branches for rows that no rule fails. Nothing in it is a lambda, so all of it is generated code.
+    """
     some = " OR ".join(f"coalesce({rule}, false)" for rule in fails)
-    return f"CASE WHEN {some} THEN array_compact(array({', '.join(failures)})) ELSE array() END"
+    each = [f"CASE WHEN {rule} THEN array({failure}) ELSE array() END" for rule, failure in zip(fails, failures, strict=True)]
+    return f"CASE WHEN {some} THEN concat({', '.join(each)}) {otherwise} ELSE array() END"
 
 
 def evaluate(
@@ -62,12 +63,12 @@ def evaluate(
     )
     repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot) if snapshots else None)
     duplicate = f"_in_{first} AND NOT {first}"
-    failures = [*_failures(contract, snapshots), f"CASE WHEN {duplicate} THEN {repeated} END"]
-    failed = _listed([*[rule.fails(contract) for rule in contract.rules], duplicate], failures)
+    fails = [*[rule.fails(contract) for rule in contract.rules], duplicate]
+    missing = ""
     if report_unaccounted:
         everything = snapshot_sql(tuple((name, name) for name in contract.source_columns)) if snapshots else None
-        missing = f"CASE WHEN NOT _in__load THEN {_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything)} END"
-        failed = f"CASE WHEN size({failed}) > 0 THEN {failed} ELSE array_compact(array({missing})) END"
+        missing = f"WHEN NOT _in__load THEN array({_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything)})"
+    failed = _listed(fails, [*_failures(contract, snapshots), repeated], missing)
     return flagged.withColumn("_failed", F.expr(failed)).drop("_in__first", "_in__load", "_first")
 
 
