@@ -277,6 +277,18 @@ def test_fingerprints(docs, none):
     assert fingerprints.fingerprint_report(none).count() == 0
 
 
+def test_likeness_of_long_texts_is_exact(spark):
+    sets = [(range(k), [*range(k - k // 3), *range(-k // 3, 0)]) for k in (1, 90, 1000, 8000, 50_000)]
+    text = [(k, *("\n".join(f"line {n}" for n in s) for s in pair)) for k, pair in enumerate(sets)]
+    rows = spark.createDataFrame(text, "n int, one string, other string")
+    rows = rows.select("n", fingerprints.digests(F.col("one")).alias("a"), fingerprints.digests(F.col("other")).alias("b"))
+    rows = rows.select("*", *[fingerprints.sketch(F.col(c), 0).alias(f"{c}_cells") for c in "ab"])
+    found = rows.select("n", fingerprints.likeness(*map(F.col, ("a", "b", "a_cells", "b_cells"))).alias("share")).collect()
+    for r in found:
+        one, other = map(set, sets[r.n])
+        assert r.share == pytest.approx(len(one & other) / len(one | other), abs=1e-12)
+
+
 def test_bpe_against_the_library(docs, none):
     from tokenizers import Tokenizer
 

@@ -6,8 +6,11 @@ digests it has, their exclusive or, and the exclusive or of their checks. The sk
 out, is the fingerprint. Subtracting the sketches of two versions cell by cell cancels all that they share;
 peeling then takes out digests from cells that hold a single one, until every differing digest is
 recovered. Where a peel fails the difference was too large, and both sketches are made again larger: the
-digests are dealt by hash over so many sketches of 24 cells that each expects a few differences,
-then twice, four and eight times as many with other hashes. Likeness is common over all distinct digests.
+digests are dealt by hash over so many sketches of 24 cells that each expects a few differences. A sketch
+that still gets stuck (two digests with the same three slots never peel, 1 in 512 pairs) has only its own
+digests dealt again, over twice, four and eight times as many sketches with other hashes; what is stuck
+after that is compared digest by digest, so that the count is exact for texts of any length. Likeness is
+common over all distinct digests.
 
 The next document is the one with the next smaller doc_id; the last is followed by the first. Rows are placed
 by bounds that are doc_ids themselves (a quantile summary, as many as shuffle partitions times four), so
@@ -16,8 +19,8 @@ the texts, no bucket in one task that grows with the table, nothing collected bu
 
 Null texts count as empty: no cells, likeness 1 to another empty text and 0 to others. Rows that repeat a
 doc_id follow each other in the order of their texts; null doc_ids come last, before the first row follows
-again. Without any doc_id the last row is followed by an empty text. A likeness that no size recovers
-(chance below 1e-9) would be 0. One document alone is followed by itself. An empty table gives no rows.
+again. Without any doc_id the last row is followed by an empty text. One document alone is followed
+by itself. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ def _check(key: Column) -> Column:
     return F.hash(key, F.lit(77))
 
 
-def _slots(key: Column, seed: int) -> list[Column]:
+def _slots(key: Column, seed: int | Column) -> list[Column]:
     return [F.pmod(F.hash(key, F.lit(seed * TABLES + t)), SLOTS) + t * SLOTS for t in range(TABLES)]
 
 
@@ -57,7 +60,7 @@ def _cell(n: Column, k: Column, c: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), k.cast("bigint").alias("k"), c.cast("int").alias("c"))
 
 
-def sketch(keys: Column, seed: int) -> Column:
+def sketch(keys: Column, seed: int | Column) -> Column:
     """Cells of a set of digests."""
     thrown = F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("c"), *[s.alias(f"s{t}") for t, s in enumerate(_slots(k, seed))]))
 
@@ -82,7 +85,7 @@ def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["c"].bitwiseXOR(y["c"])))
 
 
-def peel(cells: Column, seed: int) -> Column:
+def peel(cells: Column, seed: int | Column) -> Column:
     """How many digests a difference of sketches holds; null where peeling gets stuck."""
 
     def step(state: Column, _: Column) -> Column:
@@ -111,10 +114,9 @@ def peel(cells: Column, seed: int) -> Column:
     return T.let(end, lambda s: F.when(F.forall(s["cells"], lambda x: (x["n"] == 0) & (x["k"] == 0)), s["found"]))
 
 
-def _larger(a: Column, b: Column, times: int) -> Column:
-    """Differing digests of two sets by many sketches of 24 cells; null where one of them gets stuck."""
-    seed = times
-    groups = F.ceil((F.size(a) + F.size(b)) * times / LOAD).cast("int")
+def _larger(state: Column, times: Column) -> Column:
+    """Differing digests of what is left of two sets, by many sketches of 24 cells; what got stuck is left."""
+    groups = F.ceil((F.size(state["a"]) + F.size(state["b"])) * times / LOAD).cast("int")
 
     # Groups are picked out in two steps, so that a text of many paragraphs is not read once for each group.
     width = F.ceil(F.sqrt(groups.cast("double"))).cast("int")
@@ -129,30 +131,53 @@ def _larger(a: Column, b: Column, times: int) -> Column:
                     return F.transform(F.filter(keys, lambda x: x["g"] == g), lambda x: x["k"])
 
                 def one(g: Column) -> Column:
-                    return peel(subtract(sketch(own(near["a"], g), seed), sketch(own(near["b"], g), seed)), seed)
+                    return T.let(F.struct(own(near["a"], g).alias("a"), own(near["b"], g).alias("b")), peeled)
 
                 last = F.least((s + 1) * pair["w"], pair["n"]) - 1
-                each = F.when(s * pair["w"] <= last, F.transform(F.sequence(s * pair["w"], last), one))
-                return F.coalesce(F.aggregate(each, F.lit(0), lambda total, n: total + n), F.when(s * pair["w"] > last, 0))
+                return F.when(s * pair["w"] <= last, F.transform(F.sequence(s * pair["w"], last), one))
 
             return T.let(F.struct(part(pair["a"]).alias("a"), part(pair["b"]).alias("b")), within)
 
         each = F.transform(F.sequence(F.lit(0), F.ceil(pair["n"] / pair["w"]).cast("int") - 1), some)
-        return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+        return T.let(F.flatten(F.filter(each, lambda x: x.isNotNull())), gathered)
+
+    def peeled(keys: Column) -> Column:
+        found = peel(subtract(sketch(keys["a"], times), sketch(keys["b"], times)), times)
+        return F.struct(found.alias("found"), keys["a"].alias("a"), keys["b"].alias("b"))
+
+    def gathered(each: Column) -> Column:
+        stuck = F.filter(each, lambda x: x["found"].isNull())
+        found = F.aggregate(each, state["found"], lambda total, x: total + F.coalesce(x["found"], F.lit(0)))
+        return _state(found, F.flatten(F.transform(stuck, lambda x: x["a"])), F.flatten(F.transform(stuck, lambda x: x["b"])))
 
     def dealt(keys: Column) -> Column:
-        return F.transform(keys, lambda k: F.struct(k.alias("k"), F.pmod(F.xxhash64(k, F.lit(times)), groups).cast("int").alias("g")))
+        return F.transform(keys, lambda k: F.struct(k.alias("k"), F.pmod(F.xxhash64(k, times), groups).cast("int").alias("g")))
+
+    larger = T.let(F.struct(dealt(state["a"]).alias("a"), dealt(state["b"]).alias("b"), groups.alias("n"), width.alias("w")), counted)
+    return F.when(groups == 0, state).otherwise(larger)
+
+
+def _state(found: Column, a: Column, b: Column) -> Column:
+    return F.struct(found.cast("int").alias("found"), a.alias("a"), b.alias("b"))
+
+
+def _retried(a: Column, b: Column) -> Column:
+    """Differing digests of two sets by larger sketches, and by the digests themselves where those get stuck."""
+    end = F.aggregate(F.array(*map(F.lit, RETRIES)), _state(F.lit(0), a, b), _larger)
+
+    def rest(s: Column) -> Column:
+        return s["found"] + F.size(s["a"]) + F.size(s["b"]) - 2 * F.size(F.array_intersect(s["a"], s["b"]))
 
-    return T.let(F.struct(dealt(a).alias("a"), dealt(b).alias("b"), groups.alias("n"), width.alias("w")), counted)
+    return T.let(end, rest)
 
 
 def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
     """Share of common digests by subtracting sketches, larger ones where the fingerprints' own fail."""
-    differing = F.coalesce(peel(subtract(cells_a, cells_b), 0), *[_larger(a, b, times) for times in RETRIES])
+    differing = F.coalesce(peel(subtract(cells_a, cells_b), 0), _retried(a, b))
     total = F.size(a) + F.size(b)
 
     def share(d: Column) -> Column:
-        return F.when(d.isNull(), 0.0).when(total == 0, 1.0).otherwise((total - d) / (total + d))
+        return F.when(total == 0, 1.0).otherwise((total - d) / (total + d))
 
     return T.let(differing, share)
 
