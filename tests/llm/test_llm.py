@@ -277,6 +277,21 @@ def test_fingerprints(docs, none):
     assert fingerprints.fingerprint_report(none).count() == 0
 
 
+@pytest.mark.parametrize("nameless", [0, 150, 300])
+def test_next_documents_of_any_ids(spark, nameless):
+    rng = random.Random(6)
+    ids = [rng.randint(-(1 << 63), (1 << 63) - 1) for _ in range(300 - nameless)]
+    rows = [(k, f"text of {k}") for k in ids] + [(None, f"text {n}") for n in range(nameless)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    last = given.filter("doc_id is null").orderBy(F.xxhash64("text")).collect()
+    ordered = [t for _, t in sorted(rows[: len(ids)], reverse=True)] + [r.text for r in last]
+    after = dict(zip(ordered, ordered[1:] + ordered[:1], strict=True))
+    assert {r.text: r.next_text for r in fingerprints.with_next(given).collect()} == after
+    if nameless:
+        each = given.select(fingerprints._places(given)[0]["b"].alias("b")).filter("b < 0").groupBy("b").count().collect()
+        assert len(each) >= 4 * nameless // 150 and max(r["count"] for r in each) < nameless // 2
+
+
 def test_likeness_of_long_texts_is_exact(spark):
     sets = [(range(k), [*range(k - k // 3), *range(-k // 3, 0)]) for k in (1, 90, 1000, 8000, 50_000)]
     text = [(k, *("\n".join(f"line {n}" for n in s) for s in pair)) for k, pair in enumerate(sets)]

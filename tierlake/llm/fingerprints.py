@@ -13,13 +13,14 @@ after that is compared digest by digest, so that the count is exact for texts of
 common over all distinct digests.
 
 The next document is the one with the next smaller doc_id; the last is followed by the first. Rows are placed
-by bounds that are doc_ids themselves (a quantile summary, as many as shuffle partitions times four), so
-the head of a bucket is known by its id and copied to the end of the bucket before it: one shuffle of
-the texts, no bucket in one task that grows with the table, nothing collected but the bounds.
+by bounds from a quantile summary, as many as shuffle partitions times four, that need not be doc_ids
+themselves (they are not beyond 2^53). The greatest doc_id of each bucket comes from the data, and its rows are
+copied to the end of the bucket after which it follows: one shuffle of the texts, no bucket that grows with
+the table unless one doc_id does, nothing collected but the bounds and these doc_ids.
 
 Null texts count as empty: no cells, likeness 1 to another empty text and 0 to others. Rows that repeat a
-doc_id follow each other in the order of their texts; null doc_ids come last, before the first row follows
-again. Without any doc_id the last row is followed by an empty text. One document alone is followed
+doc_id follow each other in the order of their texts; null doc_ids come last, in the order of a hash of their
+texts, by ranges of which they are placed, before the first row follows again. One document alone is followed
 by itself. An empty table gives no rows.
 """
 
@@ -191,22 +192,52 @@ def written(cells: Column) -> Column:
     return F.array_join(F.transform(cells, one), ",")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, digests, next_text, next_digests) of every document."""
-    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _nameless() -> Column:
+    """Orders rows without doc_id."""
+    return F.xxhash64("text")
+
+
+def _places(rows: DataFrame) -> Column:
+    """Where a row of (doc_id, text) is ordered: in its bucket, and as a head after the bucket before.
+
+    Buckets follow each other by falling numbers; those of null doc_ids are below 0.
+    """
+    buckets = BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = F.array(*[F.lit((k + 1) / buckets) for k in range(buckets)])
-    ids = docs.agg(F.percentile_approx("doc_id", shares, 20 * buckets).alias("bounds"), F.max("doc_id").alias("most")).first()
-    bounds = sorted({*(ids["bounds"] or []), ids["most"]} - {None})
+    ids = rows.agg(
+        F.percentile_approx("doc_id", shares, 20 * buckets).alias("bounds"),
+        F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nameless"),
+    ).first()
+    bounds = sorted(set(ids["bounds"] or []))
     edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    own = F.coalesce(F.size(F.filter(edges, lambda b: b < F.col("doc_id"))), F.lit(0))
-    own = F.when(F.col("doc_id").isNull(), 0).otherwise(own)
-    head = F.coalesce(F.array_contains(edges, F.col("doc_id")), F.lit(False))
-    places = F.when(
-        head, F.array(F.struct(own.alias("b"), F.lit(0).alias("t")), F.struct(((own + 1) % max(1, len(bounds))).alias("b"), F.lit(1).alias("t")))
-    ).otherwise(F.array(F.struct(own.alias("b"), F.lit(0).alias("t"))))
+    own = F.size(F.filter(edges, lambda b: b < F.col("doc_id")))
+    if ids["nameless"]:
+        parts = -(-buckets * ids["nameless"] // ids["n"])
+        part = F.floor((_nameless() / 2.0**64 + 0.5) * parts).cast("int")
+        own = F.when(F.col("doc_id").isNull(), -1 - F.least(part, F.lit(parts - 1))).otherwise(own)
+    firsts = [F.max("doc_id").alias("doc_id"), (F.min(_nameless()) if ids["nameless"] else F.lit(None)).cast("bigint").alias("hash")]
+    heads = rows.groupBy(own.alias("b")).agg(*firsts).orderBy(F.desc("b")).collect()
+    if not heads:
+        return F.array(F.struct(F.lit(0).alias("b"), F.lit(0).alias("t")))
+    before = {h["b"]: heads[k - 1]["b"] for k, h in enumerate(heads)}
+    is_head = F.lit(False)
+    for mark, name in ((F.col("doc_id"), "doc_id"), (_nameless(), "hash")):
+        # Buckets of doc_ids have a greatest doc_id, those of null doc_ids a smallest hash.
+        values = [h[name] for h in heads if (h["b"] < 0) == (name == "hash")]
+        if values:
+            of_kind = F.col("doc_id").isNull() if name == "hash" else F.col("doc_id").isNotNull()
+            is_head = is_head | (of_kind & F.array_contains(F.array(*map(F.lit, values)).cast("array<bigint>"), mark))
+    to = F.element_at(F.create_map(*[F.lit(x).cast("int") for pair in before.items() for x in pair]), own)
+    here = F.struct(own.alias("b"), F.lit(0).alias("t"))
+    return F.when(is_head, F.array(here, F.struct(to.alias("b"), F.lit(1).alias("t")))).otherwise(F.array(here))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, digests, next_text, next_digests) of every document."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), T.text_or_empty().alias("text"))
-    rows = rows.select("*", digests(F.col("text")).alias("digests"), F.explode(places).alias("place"))
-    order = Window.partitionBy("place.b").orderBy(F.col("place.t"), F.col("doc_id").desc_nulls_last(), "text")
+    rows = rows.select("*", digests(F.col("text")).alias("digests"), F.explode(_places(rows)).alias("place"))
+    nameless = F.when(F.col("doc_id").isNull(), _nameless())
+    order = Window.partitionBy("place.b").orderBy(F.col("place.t"), F.col("doc_id").desc_nulls_last(), nameless, "text")
     rows = rows.withColumns({"next_text": F.lead("text").over(order), "next_digests": F.lead("digests").over(order)})
     rows = rows.filter("place.t = 0")
     empty = F.array().cast("array<bigint>")
