@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierlake.llm import (
     bpe_automaton,
     fingerprints,
+    html_extraction,
     license_scan,
     mixing,
     near_dedup,
@@ -75,10 +76,16 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extract(pages, html_extraction.learn(pages))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules, op2_license_scan, op3_secret_scan, op4_quality_classifier, op5_source_mix,
         op6_packing, op7_token_counts, op8_near_dedup, op9_fingerprints, op10_bpe_automaton,
+        op13_html_extraction,
     ]
     return {query.__name__: query for query in found}
 
