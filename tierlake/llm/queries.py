@@ -19,12 +19,14 @@ from tierlake.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    token_alignment,
     token_counts,
 )
 
 # Parameters of the queries: tokenizer files stay where the installed package has them.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_PIECES = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -76,6 +78,10 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"), BYTE_PIECES, PIECES)
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extraction.extract(pages, html_extraction.learn(pages))
@@ -85,7 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules, op2_license_scan, op3_secret_scan, op4_quality_classifier, op5_source_mix,
         op6_packing, op7_token_counts, op8_near_dedup, op9_fingerprints, op10_bpe_automaton,
-        op13_html_extraction,
+        op12_token_alignment, op13_html_extraction,
     ]
     return {query.__name__: query for query in found}
 
