@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierlake.llm import (
     bpe_automaton,
+    conversation_repair,
     fingerprints,
     html_extraction,
     license_scan,
@@ -78,6 +79,10 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_report(table(spark, sf_dir, "documents"), BYTE_PIECES, PIECES)
 
@@ -91,7 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules, op2_license_scan, op3_secret_scan, op4_quality_classifier, op5_source_mix,
         op6_packing, op7_token_counts, op8_near_dedup, op9_fingerprints, op10_bpe_automaton,
-        op12_token_alignment, op13_html_extraction,
+        op11_conversation_repair, op12_token_alignment, op13_html_extraction,
     ]
     return {query.__name__: query for query in found}
 
