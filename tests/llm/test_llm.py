@@ -71,15 +71,20 @@ def shingles(text: str | None) -> set:
     return {tuple(words[k : k + 4]) for k in range(len(words) - 3)} if len(words) >= 4 else ({tuple(words)} if words else set())
 
 
-def groups(rows: dict) -> dict:
-    sets = {k: shingles(t) for k, t in rows.items()}
-    root = {k: k for k in rows}
-    for a in sorted(rows):
-        for b in sorted(rows):
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
-                old, new = max(root[a], root[b]), min(root[a], root[b])
-                root = {k: new if r == old else r for k, r in root.items()}
-    return {k: (len(sets[k]), root[k], root[k] == k) for k in rows}
+def groups(rows: list) -> list:
+    """(doc_id, n_shingles, component_id, kept) of (doc_id, text) rows, by comparing all of them."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                root = [root[b] if r == root[a] else r for r in root]
+    least = {r: min((rows[k][0] for k in range(len(rows)) if root[k] == r and rows[k][0] is not None), default=None) for r in root}
+    return [(rows[k][0], len(sets[k]), least[root[k]], rows[k][0] == least[root[k]]) for k in range(len(rows))]
+
+
+def counted(rows) -> collections.Counter:
+    return collections.Counter(tuple(r) for r in rows)
 
 
 def rows_by_id(df) -> dict:
@@ -116,11 +121,9 @@ def test_ledger_policies_and_ablations(docs):
 
 
 def test_near_dedup(docs, none):
-    found = rows_by_id(near_dedup.group_documents(docs))
-    rows = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
-    assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in found.items() if k is not None} == groups(rows)
-    assert found[None].component_id is None and found[None].kept
-    assert near_dedup.group_documents(none).count() == 0
+    found = near_dedup.group_documents(docs).collect()
+    assert counted(found) == counted(groups([(r.doc_id, r.text) for r in docs.collect()]))
+    assert near_dedup.group_documents(none).count() == 0 and near_dedup.deduplicate(none).count() == 0
     assert near_dedup.deduplicate(docs).columns == docs.columns
 
 
@@ -129,8 +132,57 @@ def test_near_dedup_finds_links_inside_of_buckets(spark):
     words = [f"c{k}" for k in range(400)]
     rows = [(k, " ".join(words[k * 6 : k * 6 + 200])) for k in range(30)]
     rows += [(100 + k, " ".join([f"v{k}.{j}" if j % 40 == k % 40 else f"b{j}" for j in range(240)])) for k in range(30)]
-    found = rows_by_id(near_dedup.group_documents(spark.createDataFrame(rows, "doc_id bigint, text string")))
-    assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in found.items()} == groups(dict(rows))
+    found = near_dedup.group_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert counted(found) == counted(groups(rows))
+
+
+# Rows as (doc_id, text) and those that stay; the cases share no words, so one table holds them all.
+STAYS = [
+    ([(1, "B"), (5, "A"), (5, "B")], [(1, "B"), (5, "A")]),
+    ([(11, "A"), (15, "A"), (15, "B")], [(11, "A"), (15, "B")]),
+    ([(25, "A"), (25, "A"), (25, "A")], [(25, "A")]),
+    ([(None, "A"), (None, "A"), (None, "B"), (7, "A end")], [(None, "B"), (7, "A end")]),
+    ([(3, ""), (3, ""), (None, None), (4, " ")], [(3, ""), (3, ""), (None, None), (4, " ")]),
+]
+
+
+def test_one_row_of_each_component_stays(spark):
+    def spelled(case, rows):
+        long = {c: " ".join(f"{c}{case}.{k}" for k in range(40)) for c in "AB"}
+        return [(i, t and "".join(long.get(c, c) for c in t)) for i, t in rows]
+
+    rows = [r for case, (given, _) in enumerate(STAYS) for r in spelled(case, given)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, digest string, `_key` string")
+    left = near_dedup.deduplicate(df)
+    assert left.columns == df.columns
+    assert counted(left.select("doc_id", "text").collect()) == counted(r for case, (_, kept) in enumerate(STAYS) for r in spelled(case, kept))
+    assert counted(near_dedup.group_documents(df).collect()) == counted(groups(rows))
+
+
+def test_near_dedup_with_repeated_and_null_ids(spark):
+    rng = random.Random(21)
+    base = [[f"w{j}.{k}" for k in range(50)] for j in range(12)]
+    rows = []
+    for _ in range(250):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 2, 6])):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(9)}"
+        rows.append((rng.choice([None, *range(60)]), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    expected = groups(rows)
+    assert counted(near_dedup.group_documents(df).collect()) == counted(expected)
+    left = [(r.doc_id, r.text) for r in near_dedup.deduplicate(df).collect()]
+    sets = [shingles(t) for _, t in rows]
+    of = {}
+    for k in range(len(rows)):
+        near = [j for j in range(k) if 100 * len(sets[k] & sets[j]) >= 80 * len(sets[k] | sets[j])]
+        of[k] = k
+        for old in {of[j] for j in near}:
+            of = {i: k if r == old else r for i, r in of.items()}
+    firsts = collections.defaultdict(list)
+    for k, (doc_id, text) in enumerate(rows):
+        firsts[of[k]].append((doc_id is None, doc_id or 0, hashlib.md5(text.encode()).digest(), doc_id, text))
+    assert counted(left) == counted(min(group)[3:] for group in firsts.values())
 
 
 def test_components(spark):

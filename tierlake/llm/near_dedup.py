@@ -3,8 +3,8 @@
 A document's set holds its distinct 4-word shingles (the whole sequence where it has fewer words).
 Documents link where intersection and union satisfy 100 * |A & B| >= 80 * |A | B|.
 
-1. Equal sets form a class at once, by a 128-bit digest of the sorted set. The smallest doc_id of a
-   class stands for it, so that thousands of copies are one node afterwards.
+1. Equal sets form a class at once, by a 128-bit digest of the sorted set, which names the node from then on, so
+   that thousands of copies are one node. One row of a class, known by doc_id and its text's digest, gives the text.
 2. A sketch has 128 coordinates, filled in rounds. A round throws every shingle into one bin by a hash
    of its own; a bin keeps the smallest value of the first round that reaches it. From round 128 on a
    round serves one bin only, so after 256 rounds at most no coordinate of a non-empty set is empty.
@@ -18,9 +18,11 @@ Documents link where intersection and union satisfy 100 * |A & B| >= 80 * |A | B
    pairs: only links leave a block, and one link between two components at most.
 
 Full sets are recomputed from texts where they are compared, never collected. Null and empty texts and
-texts without words have an empty set and link with nothing. Rows that repeat a doc_id are one
-document with the set of the row whose digest is smallest; a null doc_id gets a null component and is
-kept. Extra columns pass through ``deduplicate``. An empty table gives no rows.
+texts without words have an empty set and link with nothing. Rows are documents: each has its own set, also where rows
+repeat a doc_id, and rows with a null doc_id link like others. A component is named by its smallest doc_id, which is null only
+if all its rows have none. ``deduplicate`` keeps one row of each component, that of the smallest doc_id, null last, then of the
+smallest text digest; of rows alike in both, the one whose hash of all columns is smallest. Extra columns pass through it,
+whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierlake import scratch
 from tierlake.llm import text as T
 from tierlake.llm.components import components
+from tierlake.operators.joins import fair_share, spread_left_join
 
 WIDTH = 4
 COORDINATES, BANDS = 128, 32
@@ -90,12 +93,12 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return short
 
 
-SKETCHED = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>"
+SKETCHED = "doc_id bigint, key binary, n_shingles bigint, digest binary, sketch array<bigint>"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = T.column(batch, "doc_id")
+        ids, keys = T.column(batch, "doc_id"), T.column(batch, "key")
         for row, end, data, offsets in T.slices(T.column(batch, "text")):
             sets = shingle_sets(data, offsets)
             short = sketches(sets)
@@ -103,11 +106,12 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(row, end - row),
+                    keys.slice(row, end - row),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32), pa.array(bands)),
                 ],
-                ["doc_id", "n_shingles", "digest", "sketch"],
+                ["doc_id", "key", "n_shingles", "digest", "sketch"],
             )
 
 
@@ -133,11 +137,29 @@ def _one_set(text: str) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]))[0]
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the text's digest; a null text counts as empty."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", _text_key())
+
+
+def _text_key() -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+
+
+def _texts_of(some: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text) of some nodes: one text of each, however many rows repeat it."""
+    rows = nodes.join(some, "rep", "left_semi").select("rep", F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key"))
+    found = _keyed(docs).join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+    return found.groupBy("rep").agg(F.first("text").alias("text"))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    texts = _texts_of(ends, nodes, docs)
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_linked, "a bigint, b bigint")
+    return both.mapInArrow(_linked, "a binary, b binary")
 
 
 _SIZES_FIT = "100 * least(n, m) >= 80 * greatest(n, m)"
@@ -155,14 +177,16 @@ class _Block:
     """Members of one block that were seen so far; members and guests are compared with those."""
 
     def __init__(self) -> None:
-        self.rep: list[int] = []
+        self.rep: list[bytes] = []
         self.sets: list[np.ndarray] = []
         self.size, self.root = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.sketch = np.zeros((0, COORDINATES), np.uint16)
+        self.number: dict[bytes, int] = {}
         self.alias: dict[int, int] = {}
 
-    def links(self, rep: int, root: int, sketch: np.ndarray, shown: np.ndarray, member: bool) -> Iterator[tuple[int, int]]:
+    def links(self, rep: bytes, root_name: bytes, sketch: np.ndarray, shown: np.ndarray, member: bool) -> Iterator[tuple[bytes, bytes]]:
         """Links of one row, at most one to each component that is still apart from its own."""
+        root = self.number.setdefault(root_name, len(self.number))
         while root in self.alias:
             root = self.alias[root]
         n = len(shown)
@@ -197,7 +221,7 @@ def _links_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if (host[i], part[i]) != last:
                 last, block = (host[i], part[i]), _Block()
             links += block.links(rep[i], root[i], sketch[i], shown, not guest[i])
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
 def _found_in(some: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -206,7 +230,7 @@ def _found_in(some: np.ndarray, others: np.ndarray) -> np.ndarray:
     return others[at] == some
 
 
-def _rest_links(nodes: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+def _rest_links(nodes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between components within the buckets that hold several of them."""
     rooted = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
@@ -234,45 +258,59 @@ def _rest_links(nodes: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFra
     each = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
     members = members.select("host", "rep", F.lit(False).alias("guest"), each)
     seats = members.unionByName(guests.select("host", "rep", "guest", "part"))
-    texts = texts.join(homes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
-    known = texts.join(rooted.select("rep", "root", "sketch"), "rep")
+    known = _texts_of(homes, nodes, docs).join(rooted.select("rep", "root", "sketch"), "rep")
     spread = seats.join(known, "rep").select("host", "part", "guest", "rep", "root", "sketch", "text")
     spread = spread.repartition("host", "part").sortWithinPartitions("host", "part", "guest")
-    return spread.mapInArrow(_links_between, "a bigint, b bigint")
+    return spread.mapInArrow(_links_between, "a binary, b binary")
 
 
-def group_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document; see the module's text."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    known = scratch.stored(docs.mapInArrow(_sketched, SKETCHED), "sketches")
-    one_each = known.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.struct("digest", "n_shingles", "sketch")).alias("one")
-    )
-    one_each = one_each.select("doc_id", "one.*")
-    nodes = one_each.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n_shingles, digest) of every row, and (digest, n_rows, first, component_id) of every class.
+
+    ``first`` is the doc_id (null last) and text digest of the row that stands for the component.
+    """
+    known = scratch.stored(_keyed(docs).mapInArrow(_sketched, SKETCHED), "sketches")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    nodes = known.filter("n_shingles > 0").groupBy(F.col("digest").alias("rep")).agg(
+        F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("n_rows")
     )
     nodes = scratch.stored(nodes, "classes")
     bands = nodes.select("rep", "n", F.posexplode("sketch").alias("band", "key"))
-    texts = docs.filter("doc_id is not null and text is not null")
-    first = scratch.stored(_verified(_star_pairs(bands), texts), "links")
+    first = scratch.stored(_verified(_star_pairs(bands), nodes, docs), "links")
     roots = components(first)
-    more = scratch.stored(_rest_links(nodes, roots, texts), "links")
+    more = scratch.stored(_rest_links(nodes, roots, docs), "links")
     if not more.isEmpty():
         roots = components(first.unionByName(more))
-    classes = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("root", "rep").alias("component_id")
-    )
-    grouped = one_each.join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
-    nameless = known.filter("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component_id"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return grouped.unionByName(nameless).withColumn("kept", kept)
+    rooted = nodes.select("rep", "row", "n_rows").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
+    firsts = rooted.groupBy("root").agg(F.min("row").alias("first"))
+    classes = rooted.join(firsts, "root").select(F.col("rep").alias("digest"), "n_rows", "first", F.col("first.doc_id").alias("component_id"))
+    return known.select("doc_id", "key", "n_shingles", "digest"), scratch.stored(classes, "components")
+
+
+def group_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; see the module's text."""
+    known, classes = _grouped(docs)
+    rows = known.filter("n_shingles > 0")
+    # Classes of many copies are split over tasks.
+    heavy = classes.filter(F.col("n_rows") > fair_share(known.count(), known)).select("digest")
+    found = spread_left_join(rows, classes.select("digest", "component_id"), "digest", ["doc_id", "key"], heavy)
+    alone = known.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return found.select(*columns).unionByName(alone.select(*columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents without those that a smaller doc_id of their component stands for."""
-    gone = group_documents(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows without those that another row of their component stands for."""
+    known, classes = _grouped(docs)
+    counts = known.filter("n_shingles > 0").groupBy("doc_id", "key", "digest").agg(F.count("*").alias("n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    # Rows that go, and rows of which one copy stays; all others pass untouched.
+    decided = counts.join(classes, "digest").select(F.col("doc_id").alias("_of"), F.col("key").alias("_with"), stays.alias("_stays"), "n")
+    decided = scratch.stored(decided.filter(~F.col("_stays") | (F.col("n") > 1)), "decided")
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["doc_id"].cast("bigint").alias("_id"), _text_key().alias("_key"))
+    same = F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_with"))
+    passing = whole.join(decided.select("_of", "_with"), same, "left_anti").select("_row")
+    repeated = whole.join(decided.filter("_stays").select("_of", "_with"), same, "left_semi")
+    one_each = repeated.groupBy("_id", "_key").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row")
+    return passing.unionByName(one_each).select("_row.*")
