@@ -123,7 +123,7 @@ def test_grain_names(spark, sf_dir):
 def test_flag_first_with_nulls_and_ties(spark, order):
     rows = [("a", None, 1), ("a", 5, 2), ("b", 1, 1), ("b", 1, 1), ("b", 1, 3), ("c", None, 9), ("d", None, None), ("d", None, None)]
     df = spark.createDataFrame(rows, "k string, d int, i int")
-    flagged = dedupe.flag_first(df, [F.col("k")], order, {"every": F.lit(True), "some": F.col("i").isNotNull()})
+    flagged = dedupe.flag_first(df, [F.col("k")], order, {"every": F.lit(True), "some": F.col("i").isNotNull()}, unique=False)
     for name, key_rows in (("every", df), ("some", df.filter("i IS NOT NULL"))):
         taken = sorted(map(str, flagged.filter(name).select("k", "d", "i").collect()))
         kept = dedupe.keep_first(key_rows, [F.col("k")], [*order, dedupe.row_hash(df)])

@@ -69,8 +69,10 @@ class Contract:
     separator: str = ","
     max_errors: int = 0
     load_note: str = ""
-    # Must identify a row within its key; the ordinal stored at ingest does.
+    # Should identify a row within its key; the ordinal stored at ingest does.
     order: tuple[str, ...] = INGEST_ORDER
+    # False where rows of a key may share their place in the order: then a hash of the whole row decides.
+    order_is_unique: bool = True
     # "exact", "ci" (case-insensitive) or "typed" (compare the cast values, e.g. 2015 = 02015)
     match: str = "exact"
     blank: str = "null"

@@ -3,7 +3,8 @@
 One key may hold a third of all rows. None of these operators brings such a group into one task:
 the first row of a key is found by an aggregate (partial results per map task) or by a rank filter
 that Spark applies per map task before the shuffle, and flags come back by a join on
-key + order columns, which differ from row to row and so spread evenly.
+key + order columns, which differ from row to row and so spread evenly. Where they do not differ, rows are
+stored once with a number of their own, which takes the last place in the order.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tierlake import scratch
+
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the first by ``order``. The rank filter runs before and after the shuffle.
@@ -34,17 +37,22 @@ def flag_first(
     keys: Sequence[Column],
     order: Sequence[str],
     subsets: dict[str, Column],
+    unique: bool = True,
 ) -> DataFrame:
     """Add one boolean per subset: is this row the first of its key among the rows of the subset?
 
-    NULLs come first in ``order``. Rows of a key that share their place in it are told apart by a hash
-    of the whole row (see ``row_hash``), and of rows alike throughout one is taken: exactly one row
-    per key and subset is first. Rows outside a subset get false.
+    NULLs come first in ``order``. Rows outside a subset get false. ``unique`` says that no two rows of a key share their place
+    in the order; else a hash of the whole row tells them apart (see ``row_hash``), and of rows alike throughout
+    one is taken, so that exactly one row per key and subset is first either way.
     """
+    if not unique:
+        # Stored, because the number must be the same where the first rows are found and where they are marked.
+        numbered = df.withColumns({"_tie": row_hash(df), "_number": F.monotonically_increasing_id()})
+        told_apart = scratch.stored(numbered, "numbered")
+        return flag_first(told_apart, keys, [*order, "_tie", "_number"], subsets).drop("_tie", "_number")
     names = [f"_key{i}" for i in range(len(keys))]
-    keyed = df.withColumns(
-        dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()} | {"_tie": row_hash(df)}
-    ).withColumn("_at", F.struct(*order))
+    keyed = df.withColumns(dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()})
+    keyed = keyed.withColumn("_at", F.struct(*order))
     hashed = F.xxhash64(*names).alias("_hash")
     inside = keyed.filter(" OR ".join(f"_in_{s}" for s in subsets)).groupBy(hashed, *names)
     if len(order) == 1:
@@ -73,14 +81,11 @@ def flag_first(
         .select(*names, F.col("_mark.at").alias("_at"), *[F.col(f"_mark.{s}").alias(s) for s in subsets])
     )
     # The place first: it differs, so that comparing rows seldom goes on to the key texts. Structs are
-    # equal where their fields are equal or both NULL. The window needs the join's own partitioning.
-    alike = Window.partitionBy("_at", *names).orderBy("_tie").rowsBetween(Window.unboundedPreceding, 0)
-    among = {s: F.count_if(F.col(f"_in_{s}")).over(alike) for s in subsets}
+    # equal where their fields are equal or both NULL.
     return (
         keyed.join(spots, ["_at", *names], "left")
-        .withColumns({f"_nth_{s}": c for s, c in among.items()})
-        .withColumns({s: F.coalesce(F.col(s), F.lit(False)) & F.col(f"_in_{s}") & (F.col(f"_nth_{s}") == 1) for s in subsets})
-        .drop(*names, "_at", "_tie", *[f"_nth_{s}" for s in subsets])
+        .withColumns({s: F.coalesce(F.col(s), F.lit(False)) & F.col(f"_in_{s}") for s in subsets})
+        .drop(*names, "_at")
     )
 
 

@@ -60,6 +60,7 @@ def evaluate(
         [F.expr(key) for key in contract.key_columns()],
         contract.order,
         {first: F.expr(ranked), "_load": F.expr(loadable)},
+        contract.order_is_unique,
     )
     repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot) if snapshots else None)
     duplicate = f"_in_{first} AND NOT {first}"
@@ -101,7 +102,9 @@ def silver(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Typed silver rows straight from bronze, when the rejects are not wanted: one shuffle."""
     usable = bronze.filter(contract.duplicates.loaded(contract))
     keys = [F.expr(key) for key in contract.key_columns()]
-    return keep_first(usable, keys, [*contract.order, row_hash(bronze)]).selectExpr(*contract.silver_columns())
+    # The hash reads every raw column, so it is only there where it decides something.
+    ties = [] if contract.order_is_unique else [row_hash(bronze)]
+    return keep_first(usable, keys, [*contract.order, *ties]).selectExpr(*contract.silver_columns())
 
 
 def mark_known(bronze: DataFrame, column: str, codes: DataFrame, name: str = "_known") -> DataFrame:

@@ -15,22 +15,46 @@ def stacked(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], counted: dict[str, str]) -> DataFrame:
+    """Distinct non-NULL values per group of several columns: name to column in ``counted``.
+
+    Several distinct counts in one aggregate make Spark copy every row for each of them. Here each has an aggregate of its own
+    (values of a group first, with map-side combine, then their number), and the groups are put side by side. All
+    start from one aggregate over the columns together, which Spark computes once.
+    """
+    columns = list(dict.fromkeys(counted.values()))
+    together = df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = []
+    for name, column in counted.items():
+        per_value = together.groupBy(*keys, column).agg(F.sum("_rows").alias("_rows"))
+        parts.append(per_value.groupBy(*keys).agg(F.count(column).alias(name)))
+    return side_by_side(parts, keys)
+
+
+def side_by_side(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Groups of several aggregates in one row each, by a union and a maximum: NULL keys meet, and no join is needed."""
+    united = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    return united.groupBy(*keys).agg(*[F.max(c).alias(c) for c in united.columns if c not in keys])
+
+
 def bronze_profile(bronze: DataFrame, contract: Contract, rsd: float | None = None) -> DataFrame:
     """Rows, distinct entities and periods, and the text range of the period.
 
     ``rsd`` switches the distinct counts to estimates with that relative error.
     """
-
-    def distinct(name: str) -> Column:
-        return F.count_distinct(name) if rsd is None else F.approx_count_distinct(name, rsd)
-
-    return bronze.agg(
+    entity, period = contract.entity, contract.period
+    names = ["total_rows", "distinct_entities", "distinct_periods", "min_period", "max_period"]
+    plain = bronze.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        distinct(contract.entity).alias("distinct_entities"),
-        distinct(contract.period).alias("distinct_periods"),
-        F.min(contract.period).alias("min_period"),
-        F.max(contract.period).alias("max_period"),
-    ).select(F.lit(contract.bronze_table).alias("table_name"), "*")
+        F.min(period).alias("min_period"),
+        F.max(period).alias("max_period"),
+        *([] if rsd is None else [F.approx_count_distinct(entity, rsd).alias("distinct_entities")]),
+        *([] if rsd is None else [F.approx_count_distinct(period, rsd).alias("distinct_periods")]),
+    )
+    if rsd is None:
+        counts = distinct_counts(bronze, [], {"distinct_entities": entity, "distinct_periods": period})
+        plain = side_by_side([plain, counts], [])
+    return plain.select(F.lit(contract.bronze_table).alias("table_name"), *names)
 
 
 def issue_counts(df: DataFrame, issues: dict[str, Column]) -> DataFrame:

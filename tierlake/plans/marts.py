@@ -8,6 +8,7 @@ from tierlake.functions.keys import match_key
 from tierlake.functions.scores import percent_of, step_label
 from tierlake.operators.dedupe import latest_per_key
 from tierlake.operators.joins import spread_left_join
+from tierlake.operators.profiles import side_by_side
 
 # Output columns of the profile view, and those the demo leaves out.
 PROFILE_COLUMNS = (
@@ -56,20 +57,25 @@ def outbreak_summary(
     full = variant == "full"
     keys = ("country_region", "who_region")
     digits = digits if digits is not None else (4 if full else 3)
-    dates = (
-        F.min("report_date").alias("first_report_date"),
-        F.max("report_date").alias("last_report_date"),
-        F.count_distinct("report_date").alias("reporting_days"),
-    )
-    provinces = (F.count_distinct("province_state") - (0 if corrected else 1)).alias("province_count")
-    if sum_provinces:
-        # The daily totals have one row per date already; provinces are counted apart.
-        totals = peaks(outbreak, keys, True, extra=dates)
-        named = outbreak.groupBy(*keys).agg(provinces)
-        matched = [F.col(f"t.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
-        base = totals.alias("t").join(named.alias("n"), matched).select("t.*", "n.province_count")
+    counts = ("confirmed", "deaths", "recovered", "active")
+    dates = (F.min("report_date").alias("first_report_date"), F.max("report_date").alias("last_report_date"))
+    days = F.count("report_date").alias("reporting_days")
+    # One aggregate per date, and the provinces apart: both start from the same one, and neither counts two columns at once.
+    rows = outbreak
+    if full:
+        total = [F.sum(c).alias(f"_sum_{c}") for c in counts]
+        rows = outbreak.groupBy(*keys, "report_date", "province_state").agg(*[F.max(c).alias(c) for c in counts], *total)
+    if sum_provinces and full:
+        daily = rows.groupBy(*keys, "report_date").agg(*[F.sum(f"_sum_{c}").alias(c) for c in counts])
     else:
-        base = peaks(outbreak, keys, extra=(*dates, *((provinces,) if full else ())))
+        step = F.sum if sum_provinces else F.max
+        daily = rows.groupBy(*keys, "report_date").agg(*[step(c).alias(c) for c in counts])
+    base = peaks(daily, keys, extra=(*dates, days))
+    if full:
+        named = rows.groupBy(*keys, "province_state").agg(F.max("report_date").alias("_last"))
+        named = named.groupBy(*keys).agg(F.count("province_state").alias("_named"))
+        province_count = (F.col("_named") - (0 if corrected else 1)).alias("province_count")
+        base = side_by_side([base, named], keys).select("*", province_count)
     fatality = percent_of(F.col("peak_deaths"), F.col("peak_confirmed"), digits).alias("case_fatality_rate_pct")
     recovery = percent_of(F.col("peak_recovered"), F.col("peak_confirmed"), 2).alias("recovery_rate_pct")
     span = F.datediff("last_report_date", "first_report_date").alias("days_tracked")

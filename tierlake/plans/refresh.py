@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierlake import scratch
 from tierlake.contracts import Contract, capacity_contract, outbreak_contract, panel_contract
@@ -14,7 +14,7 @@ from tierlake.operators.profiles import stacked
 from tierlake.plans import marts, reports
 from tierlake.plans.scorecard import SCORECARD_KEY, scorecard
 from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, REJECT_SCHEMA, REJECT_TABLE, RUNNING, Lake
-from tierlake.sources import delimited
+from tierlake.sources import delimited, positions
 
 LOAD_CODE = "QG-000"
 LOAD_REASON = "Malformed row skipped at load"
@@ -91,19 +91,15 @@ class Refresh:
     def land(
         self, frame: DataFrame, contract: Contract, log_id: int, path: str, bad: Column, wide: bool = False
     ) -> int:
-        """Load one frame into its bronze table; bad rows are counted in the same pass."""
-        read = Observation()
-        good = delimited.well_formed(frame.observe(read, F.count_if(bad).alias("bad")), bad)
+        """Load one frame into its bronze table. A first, narrow pass counts its rows and places them, and ends a
+        load with too many malformed rows before anything is written."""
+        found = positions.survey(frame, bad)
+        if found.malformed > contract.max_errors:
+            raise delimited.TooManyBadRows(f"{path}: {found.malformed} malformed rows, {contract.max_errors} allowed")
+        good = delimited.well_formed(positions.with_ordinal(frame, found), bad)
         rows = delimited.wide_to_long(good, contract) if wide else good
-
-        def tolerable(_: DataFrame) -> None:
-            if read.get["bad"] > contract.max_errors:
-                raise delimited.TooManyBadRows(
-                    f"{path}: {read.get['bad']} malformed rows, {contract.max_errors} allowed"
-                )
-
-        loaded = self.lake.replace(delimited.add_metadata(rows, contract), contract.bronze_table, tolerable)
-        if read.get["bad"]:
+        loaded = self.lake.replace(delimited.add_metadata(rows, contract), contract.bronze_table)
+        if found.malformed:
             whole = F.to_json(F.struct(*[c for c in frame.columns if not c.startswith("_")]))
             skipped = delimited.malformed(frame, bad).select(
                 F.lit(contract.bronze_table).alias("source_table"),

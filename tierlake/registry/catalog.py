@@ -12,12 +12,12 @@ from tierlake.contracts import BEDS, PANEL_FIELDS, WIDE_IDS
 from tierlake.functions.casts import blank_to_null, safe_cast
 from tierlake.functions.keys import key_hash, match_key
 from tierlake.functions.scores import step_label
-from tierlake.operators import checks, gates, joins, profiles, ranking
+from tierlake.operators import checks, dedupe, gates, joins, profiles, ranking
 from tierlake.plans import marts, reports
 from tierlake.plans.scorecard import scorecard
 from tierlake.registry import expected as x
 from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, REJECT_SCHEMA, REJECT_TABLE, Lake
-from tierlake.sources import delimited, star
+from tierlake.sources import delimited, positions, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,6 +102,35 @@ def ingest_csv(spark: SparkSession, d: str) -> DataFrame:
     return delimited.well_formed(frame).select(*star.panel().source_columns)
 
 
+def panel_files(spark: SparkSession, d: str) -> DataFrame:
+    """The raw rows as delimited files in the order of o_orderkey, read back with their place in the load."""
+    path = scratch.folder(spark, "csv")
+    rows = star.panel_bronze(spark, d)
+    columns = star.panel().source_columns
+    ranged = rows.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").select("o_orderkey", *columns)
+    ranged.write.option("header", True).csv(path)
+    frame = delimited.read_delimited(spark, path, ["o_orderkey", *columns])
+    return positions.with_ordinal(frame, positions.survey(frame, delimited.is_malformed()))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS _ordinal FROM panel_raw")
+def ingest_ordinal(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every row in a load of several files."""
+    return panel_files(spark, d).select("o_orderkey", positions.ORDINAL)
+
+
+@query(
+    """SELECT * EXCLUDE (rn) FROM (SELECT trim("Country") AS country, trim("Year") AS year, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+           row_number() OVER (PARTITION BY trim("Country"), trim("Year") ORDER BY o_orderkey) AS rn FROM panel_raw
+           WHERE trim("Country") <> '' AND trim("Year") <> '') WHERE rn = 1"""
+)
+def kept_from_files(spark: SparkSession, d: str) -> DataFrame:
+    """The first row of each key in file order, whatever the splits."""
+    rows = panel_files(spark, d).select(F.trim("Country").alias("country"), F.trim("Year").alias("year"), "o_orderkey", positions.ORDINAL)
+    named = rows.filter("country <> '' AND year <> ''")
+    return dedupe.keep_first(named, ["country", "year"], [positions.ORDINAL]).drop(positions.ORDINAL)
+
+
 _LINE = "concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus)"
 
 
@@ -251,6 +280,16 @@ def bronze_profile(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT l_returnflag, l_linestatus, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_shipdate) AS days,
+              count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY ALL"""
+)
+def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Several distinct counts per group, each in an aggregate of its own."""
+    counted = {"suppliers": "l_suppkey", "days": "l_shipdate", "parts": "l_partkey"}
+    return profiles.distinct_counts(star.table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], counted)
+
+
 @query(
     """SELECT 'DS1 - empty Country' AS issue, count(*) AS cnt FROM panel_all WHERE k1 = ''
        UNION ALL SELECT 'DS1 - empty Year', count(*) FROM panel_all WHERE k2 = ''
@@ -351,6 +390,14 @@ def dup_capacity(spark: SparkSession, d: str) -> DataFrame:
     return _duplicates(star.capacity_bronze(spark, d, "customer"), star.capacity())
 
 
+@query("SELECT l_suppkey, min(l_quantity) AS l_quantity, CAST(1 AS BIGINT) AS firsts FROM lineitem GROUP BY l_suppkey")
+def first_of_ties(spark: SparkSession, d: str) -> DataFrame:
+    """One first row per key where many rows of a key share the lowest place."""
+    rows = star.table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag")
+    flagged = dedupe.flag_first(rows, [F.col("l_suppkey")], ["l_quantity"], {"first": F.lit(True)}, unique=False)
+    return flagged.filter("first").groupBy("l_suppkey", "l_quantity").agg(F.count(F.lit(1)).alias("firsts"))
+
+
 @query("SELECT * FROM panel_silver")
 def silver_panel(spark: SparkSession, d: str) -> DataFrame:
     return panel_silver(spark, d)
@@ -764,7 +811,7 @@ def scorecard_listing(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS id FROM orders")
 def dense_id(spark: SparkSession, d: str) -> DataFrame:
     rows = star.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return ranking.dense_index(rows, [F.col("o_totalprice"), F.col("o_orderkey")])
+    return ranking.dense_index(rows, [F.col("o_totalprice"), F.col("o_orderkey")], key=["o_totalprice", "o_orderkey"])
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity, rank() OVER (ORDER BY l_quantity DESC) AS rank_no FROM lineitem")

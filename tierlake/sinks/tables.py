@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tierlake.contracts import INGEST_ORDER
 from tierlake.operators.ranking import dense_index
 
 # Layer names, table names and columns.
@@ -120,7 +121,9 @@ class Lake:
         """
         last = self.table(table).agg(F.max("reject_id")).first()[0] or 0
         named = [*order, "reason_code"] if order else ["source_table", "reason_code", "raw_snapshot"]
-        numbered = dense_index(rejected, [F.col(c).asc_nulls_first() for c in named], "reject_id")
+        places = [F.col(c).asc_nulls_first() for c in named]
+        # The ordinal of the load tells all rows apart, other orders only those of one key.
+        numbered = dense_index(rejected, places, "reject_id", key=named if order == INGEST_ORDER else None)
         counted = Observation()
         rows = numbered.select(
             (F.col("reject_id") + last).alias("reject_id"),

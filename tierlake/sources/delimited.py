@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tierlake.contracts import WIDE_IDS, WIDE_YEARS, Contract
 from tierlake.functions.keys import key_hash
 from tierlake.operators.reshape import YEAR_HEADER, unpivot_wide
+from tierlake.sources import positions
 
 CORRUPT = "_corrupt_record"
 TRAILING = "_trailing"
+# Places kept for the cells of one wide row, more than a file has columns.
+CELLS = 1 << 16
 
 
 class TooManyBadRows(Exception):
@@ -50,7 +53,7 @@ def read_delimited(
         .option("columnPruning", False)
         .csv(path)
     )
-    return frame.select(*columns, CORRUPT, F.col("_metadata.file_name").alias("_src_file"))
+    return frame.select(*columns, CORRUPT, F.col("_metadata.file_name").alias("_src_file"), *positions.located())
 
 
 def read_contract(spark: SparkSession, path: str | list[str], contract: Contract, **options) -> DataFrame:
@@ -74,7 +77,8 @@ def wide_to_long(wide: DataFrame, contract: Contract, years: Sequence[str] | Non
     entity, code, period, value = contract.source_columns
     kept = [name for name in wide.columns if name.startswith("_")]
     named = wide.withColumnsRenamed({WIDE_IDS[0]: entity, WIDE_IDS[1]: code})
-    return unpivot_wide(named, [entity, code, *kept], years, period, value)
+    place = positions.CELL if positions.ORDINAL in kept else None
+    return unpivot_wide(named, [entity, code, *kept], years, period, value, place)
 
 
 def is_malformed(contract: Contract | None = None) -> Column:
@@ -106,11 +110,20 @@ def malformed(frame: DataFrame, bad: Column | None = None) -> DataFrame:
 
 
 def add_metadata(frame: DataFrame, contract: Contract, charset: str = "UTF-16LE") -> DataFrame:
-    """Ingest time, hash of the business key, and an ordinal that is stored to break ties later."""
+    """Ingest time, hash of the business key, and an ordinal that is stored to break ties later.
+
+    The ordinal is the place in the load where the frame has it (``positions.with_ordinal``), cells of a wide row one after the
+    other; else a number that only tells the rows apart.
+    """
+    ordinal = F.monotonically_increasing_id()
+    if positions.ORDINAL in frame.columns:
+        ordinal = F.col(positions.ORDINAL)
+        if positions.CELL in frame.columns:
+            ordinal = ordinal * CELLS + F.col(positions.CELL)
     return frame.select(
         *contract.source_columns,
         "_src_file",
         F.current_timestamp().alias("_ingested_at"),
         key_hash(list(contract.hash_key), charset).alias("_row_hash"),
-        F.monotonically_increasing_id().alias("_ordinal"),
+        ordinal.alias(positions.ORDINAL),
     )
