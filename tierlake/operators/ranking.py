@@ -19,9 +19,7 @@ ROWS_PER_PARTITION = 4_000_000
 
 def _placed(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
     """Range-partitioned and sorted rows with their partition and position, fixed by a checkpoint."""
-    if partitions is None:
-        partitions = max(shuffle_partitions(df), -(-df.count() // ROWS_PER_PARTITION))
-    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(partitions or shuffle_partitions(df), *order).sortWithinPartitions(*order)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_MASK))
     return scratch.checkpointed(ranged.withColumns({"_part": F.spark_partition_id(), "_position": position}))
 
@@ -47,6 +45,9 @@ def dense_index(
     ``key`` names columns that identify a row, NULLs included, and hold all that ``order`` reads. Then only those are
     sorted and fixed, and the numbers come back by a join on them; without it whole rows are.
     """
+    if key and partitions is None:
+        # Counting reads the narrow columns once more; whole rows may be costly to compute twice.
+        partitions = max(shuffle_partitions(df), -(-df.select(*key).count() // ROWS_PER_PARTITION))
     placed = _placed(df.select(*key) if key else df, order, partitions)
     offsets = F.broadcast(_offsets(placed, F.count(F.lit(1))))
     number = (F.col("_offset") + F.col("_position") + 1).alias(name)
