@@ -102,10 +102,9 @@ def test_sql_on_awkward_texts(docs, none, name):
     import duckdb
 
     operator = {"op1_quality_rules": quality_rules.rule_report, "op2_license_scan": license_scan.scan, "op5_source_mix": mixing.mix_report}[name]
-    rows = docs.filter("doc_id is not null").select("doc_id", "text", "source").toPandas().drop_duplicates("doc_id")
+    given = docs.select("doc_id", "text", "source")
     con = duckdb.connect()
-    con.register("documents", rows)
-    given = docs.sparkSession.createDataFrame(rows.astype(object).where(rows.notna(), None), "doc_id bigint, text string, source string")
+    con.register("documents", given.toArrow())
     assert compare.difference(operator(given), con, queries.oracle_sql()[name]) is None
     assert operator(none).count() == 0
     assert operator(docs).count() == docs.count()
@@ -246,13 +245,42 @@ def test_quality_classifier(spark, sf_dir, docs, none, labels):
     assert quality_classifier.score(none, None).count() == 0
 
 
-def test_mixing_is_near_its_targets(spark, sf_dir):
+def test_mixing_meets_its_targets(spark, sf_dir):
     report = mixing.mix_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     assert report.filter("taken > 2 * size").count() == 0
     total = report.agg(F.sum("taken"), F.sum("size")).first()
     assert abs(total[0] / total[1] - 1.5) < 0.1
 
 
+def test_mixing_with_a_third_of_the_rows_equal_or_nameless(spark):
+    import duckdb
+
+    rng = random.Random(5)
+    rows = []
+    for k in range(3000):
+        source = rng.choice(["a", "b", "c", None])
+        text = " ".join(["w"] * rng.randint(1, 40)) + f" {k}"
+        rows.append((None, "equal words " * 6, source) if k % 3 == 0 else (None if k % 7 == 0 else rng.randrange(800), text, source))
+    given = spark.createDataFrame([(*r, 1.5, 2) for r in rows], "doc_id bigint, text string, source string, target double, whole int").repartition(6)
+    report = mixing.mix_report(given)
+    con = duckdb.connect()
+    con.register("documents", given.select("doc_id", "text", "source").toArrow())
+    assert compare.difference(report, con, mixing.REPORT_SQL) is None
+    per = report.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(per) == 4 and all(abs(r.taken - r.target) <= 41 for r in per)
+    mixed = mixing.mix(given)
+    assert mixed.columns == given.columns and mixed.filter("target = 1.5 and whole = 2").count() == mixed.count()
+    words = mixed.select(F.sum(mixing.size())).first()[0]
+    assert words == report.agg(F.sum("taken")).first()[0]
+
+
+def test_longer_documents_have_higher_chances(spark):
+    rows = [(k, "w " * (10 if k % 2 else 200), source) for k in range(4000) for source in ("a", "b")[: 1 + (k < 1000)]]
+    report = mixing.mix_report(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    shares = {r["size"]: r.share for r in report.groupBy("size").agg(F.avg(F.col("taken") / F.col("size")).alias("share")).collect()}
+    assert shares[200] > shares[10]
+
+
 def test_packing(docs, none):
     rows = packing.pack_documents(docs, length=64, lot=500).collect()
     parts = collections.defaultdict(list)
