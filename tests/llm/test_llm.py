@@ -233,6 +233,38 @@ def test_viterbi_is_exact(spark, sf_dir):
     assert value(field.tags(tokens, 2)) == pytest.approx(max(map(value, every)))
 
 
+# Secrets of forms that the patterns miss, and texts without any.
+UNSEEN = [
+    ("export STRIPE=", "sk_live_51HqLyjWDarjtT1zdp7dc9F", ""), ("the password is ", "Xk29fjWq81Lm", " for now"), ("DB_PASS=", "letmeinplease", ""),
+    ("login: ", "swordfishes", ""), ("Authorization: Bearer ", "eyJhbGciOiJIUzI1NiJ9", ""), ("auth = '", "a8f5f167f44f4964", "'"),
+    ("access-key: ", "Zt7-qq81-bbX2-910a", ""), ("my credentials: ", "tom91x8Kd02", ""), ('private_key = "', "kJh82hd7Gq9Lm3", '"'),
+    ("pwd: ", "hunter2000x", ""), ("client_auth=>", "9f8e7d6c5b4a", ""), ("bearer ", "ghp_16C7e42F292c6912E7", " ok"),
+]
+CLEAN = [
+    "The meeting is at 10:30 on 12 May 2021 in room 204.", "Total: 1234567 items, price = 99.50 euros", "See section 3.2: results are good",
+    "key findings: the market is growing", "He was born in 1984 and moved to Paris.", "phone: +49 170 1234567", "version 2.10.3 was released",
+    "login to the site to read more", "ISBN 978-3-16-148410-0 is a book", "the secret to success is practice",
+]
+
+
+def test_field_finds_what_the_patterns_miss(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    for sample in (secret_scan.MAX_DOCUMENTS, secret_scan.MAX_DOCUMENTS // 2):
+        field = secret_scan.train(docs, sample)
+        found = 0
+        for before, secret, after in UNSEEN:
+            assert not secret_scan.pattern_spans(before + secret + after)
+            found += ("crf", len(before), len(before) + len(secret)) in secret_scan.spans_of(before + secret + after, field)
+        assert found >= 9
+        assert not [t for t in CLEAN if secret_scan.spans_of(t, field)]
+
+
+def test_added_spans_are_cut_back_to_what_patterns_leave():
+    spans = [("hex", 4, 8), ("assign", 10, 12)]
+    assert list(secret_scan._left("ab  cdef  gh ij ", 0, 16, spans)) == [(0, 2), (13, 15)]
+    assert list(secret_scan._left("abcd", 0, 4, [("hex", 0, 4)])) == []
+
+
 def test_quality_classifier(spark, sf_dir, docs, none, labels):
     given, marks = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     scored = quality_classifier.score(given, quality_classifier.train(given, marks)).join(marks, "doc_id")
