@@ -8,6 +8,7 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 
 from tierlake.llm import queries, token_alignment as A
@@ -100,8 +101,34 @@ def test_empty_table(spark):
 
 
 def test_groups_of_lists_without_common_ends_inside():
-    assert A.align([1, 2, 3], [4, 5], [1, 1, 2], [3, 1]) == [([1, 2, 3], [4, 5])]
-    assert A.align([1, 2], [3, 4], [2, 1], [2, 1]) == [([1], [3]), ([2], [4])]
-    assert A.align([], [], [], []) == []
-    many = A.links([([7] * 1000 + [8], [9] * 2000)])
-    assert many == {(7, 9): 2_000_000, (8, 9): 2000}
+    def groups(*lists):
+        return list(A.align(*[np.array(x, np.int64) for x in lists]).slices())
+
+    assert groups([1, 2, 3], [4, 5], [1, 1, 2], [3, 1]) == [([1, 2, 3], [4, 5])]
+    assert groups([1, 2], [3, 4], [2, 1], [2, 1]) == [([1], [3]), ([2], [4])]
+    assert groups([], [], [], []) == []
+
+
+def test_links_of_large_groups_equal_expanded_ones():
+    ones = [7] * 1000 + [8], [9] * 2000 + [7]
+    sizes = [1] * 999 + [1001, 1], [1] * 999 + [1] * 1000 + [1, 1]
+    large = A.align(*[np.array(x, np.int64) for x in (*ones, *sizes)])
+    pairs, times = A.links(large)
+    every = collections.Counter(x << 32 | y for xs, ys in large.slices() for x in xs for y in ys)
+    assert dict(zip(pairs.tolist(), times.tolist(), strict=True)) == every and sorted(every) == pairs.tolist()
+
+
+@pytest.mark.parametrize("block", range(0, 0x110000, 0x44000))
+def test_ranked_encoder_equals_the_library_on_every_code_point(block):
+    tokenizer = A.ByteTokenizer(queries.BYTE_PIECES)
+    letters = [chr(c) for c in range(block, block + 0x44000) if not 0xD800 <= c < 0xE000]
+    given = [f"ab{x}cd 12{x}34 {x} -{x}- {x}{x}  {x}  e{x}" for x in letters]
+    for at in range(0, len(given), 8192):
+        own = tokenizer._library.encode_batch_fast(given[at : at + 8192], add_special_tokens=False)
+        assert [tokenizer._ranked.encode_ordinary(t) for t in given[at : at + 8192]] == [e.ids for e in own]
+
+
+def test_long_words_go_to_the_library():
+    tokenizer = A.ByteTokenizer(queries.BYTE_PIECES)
+    for text in ("ab" * 30_000, " " * 50_000, "a " * 3000, "\n" * 1500 + "x"):
+        assert tokenizer.encode([text]) == [tokenizer._library.encode(" " + text, add_special_tokens=False).ids]

@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over whole texts, and how often their ids are linked in the corpus.
 
 Both tokenizers spell a text's bytes (a space and the text). Each id list gives cumulative ends; a dictionary
-from end to index per list, the set intersection of their keys and the sorted common ends slice both lists into
+from end to index, probed with the other list's ends in order, intersects them, and the sorted common ends slice both lists into
 groups: the smallest runs of tokens that cover the same bytes. Tokens of a group are linked, all of one side with
 all of the other. An id pair's count is the number of documents of the corpus that link it at least once.
 
@@ -15,8 +15,8 @@ all of the other. An id pair's count is the number of documents of the corpus th
 
 A text that is null or empty, or whose tokens of either side spell other bytes than a space and the text, has no
 tokens: zeros and an empty digest. Strings of special tokens inside of texts are plain text. Rows are documents:
-repeated rows count each, a null doc_id passes. An empty table gives no rows. Texts are encoded whole; a group's links
-are counted by distinct ids, so memory follows the distinct pairs of a document and not its links. Extra columns are ignored.
+repeated rows count each, a null doc_id passes. An empty table gives no rows. Texts are encoded whole; the links of a large
+group are counted by distinct ids, so memory follows the tokens and distinct pairs of a document. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ from __future__ import annotations
 import hashlib
 import json
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,17 @@ MAX_SENT = 2_000_000
 # Pairs that a task adds up before it hands them on, and the share of texts that it holds as strings.
 HELD_PAIRS, TEXTS = 400_000, 64
 B_SHIFT = 32
+LARGE_GROUP = 1 << 16  # pairs of a group that are expanded one by one
+LONG_WORD = 1000
 
 
 class ByteTokenizer:
-    """Ids and their bytes of a byte-level tokenizer file; special tokens of texts are plain text."""
+    """Ids and their bytes of a byte-level tokenizer file; special tokens of texts are plain text.
+
+    Where the file's merges stand in the order of their ids, the ranked encoder gives the same ids in a fifth of the time
+    (a test compares them on every code point). It is quadratic in the longest word, so texts with long ones, and other
+    files, go to the library of the file format.
+    """
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -60,10 +68,24 @@ class ByteTokenizer:
         library.no_padding()
         return library
 
+    @cached_property
+    def _ranked(self):
+        import public_tokenizers
+        import tiktoken
+
+        spec = json.loads(self.spec)
+        vocabulary, byte = spec["model"]["vocab"], byte_values()
+        merges = [m.replace(" ", "", 1) if isinstance(m, str) else "".join(m) for m in spec["model"]["merges"]]
+        split = spec["pre_tokenizer"] or {}
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not spec["normalizer"]
+        if not plain or [vocabulary[m] for m in merges] != list(range(256, 256 + len(merges))):
+            return None
+        ranks = {bytes(byte[c] for c in label): i for label, i in vocabulary.items() if i < 256 + len(merges)}
+        return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     @cached_property
     def spelling(self) -> list[bytes]:
-        byte = {letter: b for b, letter in enumerate(byte_letters())}
-        vocabulary = json.loads(self.spec)["model"]["vocab"]
+        byte, vocabulary = byte_values(), json.loads(self.spec)["model"]["vocab"]
         out = [b""] * (max(vocabulary.values()) + 1)
         for label, token in vocabulary.items():
             # Labels outside of the byte alphabet are special tokens, which texts never get.
@@ -71,12 +93,23 @@ class ByteTokenizer:
         return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        return [self._one(" " + text) for text in texts]
+
+    def _one(self, text: str) -> list[int]:
+        words = text.split()
+        longest = max(map(len, words), default=0)
+        if self._ranked is not None and longest <= LONG_WORD and len(text) - sum(map(len, words)) - len(words) <= LONG_WORD:
+            return self._ranked.encode_ordinary(text)
+        return self._library.encode(text, add_special_tokens=False).ids
 
     def __getstate__(self) -> dict:
         return {"spec": self.spec}
 
 
+def byte_values() -> dict[str, int]:
+    return {letter: b for b, letter in enumerate(byte_letters())}
+
+
 class PieceTokenizer:
     """Ids and their bytes of a piece model, which puts the space before the text itself."""
 
@@ -105,42 +138,81 @@ class PieceTokenizer:
         return {"model": self.model}
 
 
-Group = tuple[list[int], list[int]]
+@dataclass
+class Groups:
+    """Two id lists and where their groups begin; the last entries are the lists' lengths."""
+
+    a: np.ndarray
+    b: np.ndarray
+    cuts_a: np.ndarray
+    cuts_b: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.cuts_a) - 1
+
+    def slices(self) -> Iterator[tuple[list[int], list[int]]]:
+        for k in range(len(self)):
+            yield self.a[self.cuts_a[k] : self.cuts_a[k + 1]].tolist(), self.b[self.cuts_b[k] : self.cuts_b[k + 1]].tolist()
 
 
-def align(a: Sequence[int], b: Sequence[int], a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[Group]:
+def align(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> Groups:
     """Groups of two id lists that spell the same bytes; sizes are the bytes of each token (at least 1)."""
-    ends = []
-    for sizes in (a_sizes, b_sizes):
-        end, index_at = 0, {}
-        for i, size in enumerate(sizes):
-            end += size
-            index_at[end] = i + 1
-        ends.append(index_at)
-    at_a, at_b = ends
-    groups, i, j = [], 0, 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        groups.append((a[i : at_a[end]], b[j : at_b[end]]))
-        i, j = at_a[end], at_b[end]
-    return groups
-
-
-def links(groups: list[Group]) -> Counter[tuple[int, int]]:
-    """How often each id pair is linked: each side of a group counted by distinct ids, then multiplied."""
-    found: Counter[tuple[int, int]] = Counter()
-    for a, b in groups:
-        if len(a) == 1 and len(b) == 1:
-            found[a[0], b[0]] += 1
-        else:
-            other = Counter(b).items()
-            for x, n in Counter(a).items():
-                for y, m in other:
-                    found[x, y] += n * m
-    return found
-
-
-def written(groups: list[Group]) -> str:
-    return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+    ends_a, ends_b = (np.cumsum(sizes).tolist() for sizes in (a_sizes, b_sizes))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    # The place of each end of A is its index there; asked for in order, the common ends come out sorted.
+    found = np.fromiter(map(at_b.get, ends_a, repeat(0)), np.int64, len(ends_a))
+    common = np.flatnonzero(found)
+    cuts = [np.zeros(len(common) + 1, np.int64) for _ in range(2)]
+    cuts[0][1:], cuts[1][1:] = common + 1, found[common]
+    return Groups(a, b, *cuts)
+
+
+def links(groups: Groups) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct linked id pairs (a << 32 | b, ascending) and how often each is linked.
+
+    The pairs of a group are expanded; those of a large one are counted by the distinct ids of its sides, then multiplied.
+    """
+    n_a, n_b = np.diff(groups.cuts_a), np.diff(groups.cuts_b)
+    large = np.flatnonzero(n_a * n_b > LARGE_GROUP)
+    n = n_a * n_b
+    n[large] = 0
+    group = np.repeat(np.arange(len(groups)), n)
+    place = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+    i = groups.cuts_a[group] + place // n_b[group]
+    j = groups.cuts_b[group] + place % n_b[group]
+    pairs, times = np.unique(groups.a[i] << B_SHIFT | groups.b[j], return_counts=True)
+    if len(large):
+        found = Counter(dict(zip(pairs.tolist(), times.tolist(), strict=True)))
+        for k in large:
+            own, other = (np.unique(x[c[k] : c[k + 1]], return_counts=True) for x, c in ((groups.a, groups.cuts_a), (groups.b, groups.cuts_b)))
+            for x, m in zip(*map(np.ndarray.tolist, own), strict=True):
+                for y, o in zip(*map(np.ndarray.tolist, other), strict=True):
+                    found[x << B_SHIFT | y] += m * o
+        pairs = np.array(sorted(found), np.int64)
+        times = np.array([found[p] for p in pairs.tolist()], np.int64)
+    return pairs, times
+
+
+class Numerals:
+    """Decimal ids of a vocabulary with the sign that follows them within and at the end of a group."""
+
+    def __init__(self, size: int, end: str) -> None:
+        self.within = np.array([f"{k}," for k in range(size)], object)
+        self.end = np.array([f"{k}{end}" for k in range(size)], object)
+
+
+def written(groups: Groups, of_a: Numerals, of_b: Numerals) -> str:
+    """``a1,a2|b1;a3|b2,b3``: each id goes to its place in the merged list, behind the other list's earlier groups."""
+    if not len(groups):
+        return ""
+    n_a, n_b = np.diff(groups.cuts_a), np.diff(groups.cuts_b)
+    out = np.empty(len(groups.a) + len(groups.b), object)
+    for ids, cuts, before, numerals in ((groups.a, groups.cuts_a, groups.cuts_b[:-1], of_a), (groups.b, groups.cuts_b, groups.cuts_a[1:], of_b)):
+        places = np.arange(len(ids)) + np.repeat(before, n_a if numerals is of_a else n_b)
+        signs = numerals.within[ids]
+        signs[cuts[1:] - 1] = numerals.end[ids[cuts[1:] - 1]]
+        out[places] = signs
+    return "".join(out.tolist())[:-1]
 
 
 @dataclass
@@ -150,24 +222,39 @@ class Aligned:
     n_groups: int = 0
     n_links: int = 0
     digest: str = ""
-    pairs: bytes = b""  # a << 32 | b of each distinct pair, little-endian unsigned 64-bit, ascending
+    pairs: bytes = b""  # a << 32 | b of each distinct pair, little-endian 64-bit, ascending
     times: bytes = b""  # how often each is linked, the same way
 
 
-def aligned(text: str, a: list[int], b: list[int], spell_a: list[bytes], spell_b: list[bytes]) -> Aligned:
-    own_a, own_b = [spell_a[i] for i in a], [spell_b[i] for i in b]
-    whole = (" " + text).encode()
-    if not text or b"".join(own_a) != whole or b"".join(own_b) != whole:
-        return Aligned()
-    groups = align(a, b, list(map(len, own_a)), list(map(len, own_b)))
-    found = links(groups)
-    keys = np.fromiter((x << B_SHIFT | y for x, y in found), np.uint64, len(found))
-    times = np.fromiter(found.values(), np.uint64, len(found))
-    order = np.argsort(keys)
-    return Aligned(
-        len(a), len(b), len(groups), int(times.sum()), hashlib.sha256(written(groups).encode()).hexdigest(),
-        keys[order].astype("<u8").tobytes(), times[order].astype("<u8").tobytes(),
-    )
+class Aligner:
+    """Aligns texts with two tokenizers; tables are built once in each worker."""
+
+    def __init__(self, one: ByteTokenizer, other: PieceTokenizer) -> None:
+        self.one, self.other = one, other
+
+    @cached_property
+    def _numerals(self) -> tuple[Numerals, Numerals]:
+        return Numerals(len(self.one.spelling), "|"), Numerals(len(self.other.spelling), ";")
+
+    @cached_property
+    def _sizes(self) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.array(list(map(len, t.spelling)), np.int64) for t in (self.one, self.other))
+
+    def __getstate__(self) -> dict:
+        return {"one": self.one, "other": self.other}
+
+    def align(self, texts: list[str]) -> list[Aligned]:
+        return [self._aligned(*row) for row in zip(texts, self.one.encode(texts), self.other.encode(texts), strict=True)]
+
+    def _aligned(self, text: str, a: list[int], b: list[int]) -> Aligned:
+        whole = (" " + text).encode()
+        if not text or any(b"".join(map(t.spelling.__getitem__, ids)) != whole for t, ids in ((self.one, a), (self.other, b))):
+            return Aligned()
+        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        groups = align(ids_a, ids_b, self._sizes[0][ids_a], self._sizes[1][ids_b])
+        pairs, times = links(groups)
+        digest = hashlib.sha256(written(groups, *self._numerals).encode()).hexdigest()
+        return Aligned(len(a), len(b), len(groups), int(times.sum()), digest, pairs.astype("<i8").tobytes(), times.astype("<i8").tobytes())
 
 
 ALIGNED = (
@@ -178,18 +265,14 @@ REPORT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint
 
 def align_documents(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     """One row for each document: counts, digest of the groups, and the distinct linked pairs with how often."""
-    sent = docs.sparkSession.sparkContext.broadcast((ByteTokenizer(byte_path), PieceTokenizer(piece_path)))
+    sent = docs.sparkSession.sparkContext.broadcast(Aligner(ByteTokenizer(byte_path), PieceTokenizer(piece_path)))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, other = sent.value
+        aligner = sent.value
         for batch in batches:
             ids, texts = T.column(batch, "doc_id"), T.column(batch, "text")
             for at in range(0, len(texts), TEXTS):
-                some = [x or "" for x in texts.slice(at, TEXTS).to_pylist()]
-                rows = [
-                    aligned(text, a, b, one.spelling, other.spelling)
-                    for text, a, b in zip(some, one.encode(some), other.encode(some), strict=True)
-                ]
+                rows = aligner.align([x or "" for x in texts.slice(at, TEXTS).to_pylist()])
                 numbers = [pa.array([getattr(r, name) for r in rows], pa.int64()) for name in ("n_a", "n_b", "n_groups", "n_links")]
                 rest = [pa.array([r.digest for r in rows], pa.string())]
                 rest += [pa.array([getattr(r, name) for r in rows], pa.binary()) for name in ("pairs", "times")]
@@ -204,8 +287,8 @@ def align_documents(docs: DataFrame, byte_path: str, piece_path: str) -> DataFra
 
 def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All 64-bit values of a binary column, and how many each row has."""
-    parts = [np.frombuffer(x, "<u8") for x in column.to_pylist()]
-    return np.concatenate([*parts, np.zeros(0, "<u8")]).astype(np.int64), np.array([len(p) for p in parts], np.int64)
+    parts = [np.frombuffer(x, "<i8") for x in column.to_pylist()]
+    return np.concatenate([*parts, np.zeros(0, "<i8")]), np.array([len(p) for p in parts], np.int64)
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
