@@ -49,7 +49,7 @@ STAGES = [
     ("BPE encoding and decoding", encode),
 ]
 
-# The classifier, the sketches, the field and the automaton are not SQL; tests hold run() against plain Python.
+# The classifier, the sketches, the field and the automaton are not SQL; a test replays the stages and the library's encoder.
 ORACLE_SQL = None
 
 
