@@ -73,6 +73,34 @@ def test_empty_files(spark, tmp_path):
     assert (found.rows, found.malformed) == (0, 0) and positions.with_ordinal(frame, found).count() == 0
 
 
+def test_headers_are_compared_in_the_same_pass(spark, tmp_path, splits):
+    heads = ["key,number", " Key ,  NUMBER", "\ufeffkey,number", '"key"," number "']
+    for k, head in enumerate(heads):
+        (tmp_path / f"{k}.csv").write_text("\n".join([head, *[f"k{n},{n}" for n in range(60 * k)]]) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    path, names, bad = str(tmp_path), ["key", "number"], delimited.is_malformed()
+    expected = None
+    for size in ("128m", "100"):
+        splits(size)
+        plain = delimited.read_delimited(spark, path, names)
+        rows = [tuple(r) for r in positions.with_ordinal(plain, positions.survey(plain, bad)).orderBy("_ordinal").collect()]
+        frame = delimited.read_delimited(spark, path, names, header=False)
+        found = positions.survey(frame, bad, delimited.is_header(names))
+        assert (found.rows, found.malformed, found.headless) == (360, 0, ())
+        assert [tuple(r) for r in positions.with_ordinal(frame, found).orderBy("_ordinal").collect()] == rows
+        assert expected in (None, rows)
+        expected = rows
+    swapped = delimited.read_delimited(spark, path, names[::-1], header=False)
+    assert len(positions.survey(swapped, bad, delimited.is_header(names[::-1])).headless) == 4
+    # A name with an unquoted separator makes the line malformed as a row; it is still known, and not counted.
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "x.csv").write_text("key,per 1,000\na,1\n")
+    frame = delimited.read_delimited(spark, str(tmp_path / "more"), ["key", "per 1,000"], header=False)
+    found = positions.survey(frame, bad, delimited.is_header(["key", "per 1,000"]))
+    assert (found.rows, found.malformed, found.headless) == (1, 0, ())
+    assert positions.with_ordinal(frame, found).select("key").collect() == [("a",)]
+
+
 def test_a_bad_file_writes_nothing(spark, tmp_path, monkeypatch):
     columns = panel_contract().source_columns
     (tmp_path / "panel.csv").write_text(",".join(columns) + "\n" + "a,b\n" * 3)

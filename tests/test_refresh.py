@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import itertools
 import pathlib
 
 import pytest
@@ -15,7 +16,7 @@ from tierlake.operators.checks import KeyViolation
 from tierlake.plans import reports
 from tierlake.plans.lake_reports import lake_reports
 from tierlake.plans.refresh import Inputs, Refresh
-from tierlake.sinks.tables import LOG_TABLE, REJECT_TABLE, Lake, session_views
+from tierlake.sinks.tables import LOG_TABLE, REJECT_TABLE, Lake, Release, session_views
 from tierlake.sources import delimited
 
 
@@ -173,6 +174,83 @@ def test_a_swap_that_stopped_is_undone(spark):
     assert lake.table("gold.t").count() == 5 and not lake.exists("gold.t__replaced")
 
 
+def test_a_release_is_all_or_nothing(spark, monkeypatch):
+    """A crash after each step of publishing: readers see both tables old or both new, also after the next start."""
+    lake, run, tables = Lake(spark, "atomic_"), Release(spark, "atomic_"), ("gold.a", "silver.b")
+    lake.bootstrap()
+    for table in tables:
+        lake.replace(spark.range(1), table)
+    outcomes = []
+    for allowed in itertools.count():
+        run.begin()
+        before = lake.table("gold.a").count()
+        for table in tables:
+            run.replace(spark.range(before + 1), table)
+            assert run.table(table).count() == before + 1 and lake.table(table).count() == before
+        left = [allowed]
+        with monkeypatch.context() as patched:
+            for name in ("_rename", "_drop"):
+
+                def step(self, *given, real=getattr(Lake, name)):
+                    if not left[0]:
+                        raise RuntimeError("crash")
+                    left[0] -= 1
+                    real(self, *given)
+
+                patched.setattr(Lake, name, step)
+            try:
+                run.publish()
+                ended = True
+            except RuntimeError:
+                ended = False
+        seen = {lake.table(table).count() for table in tables}
+        assert len(seen) == 1
+        lake.bootstrap()
+        assert {lake.table(table).count() for table in tables} == seen
+        outcomes.append(seen.pop() - before)
+        if ended:
+            break
+    # The first rename is the release: old tables before it, new ones from then on.
+    assert outcomes == [0, 0] + [1] * (len(outcomes) - 2) and len(outcomes) > 10
+    assert lake.tables() == sorted(tables)
+
+
+def test_repeated_steps_change_nothing(spark, files):
+    lake = Lake(spark, "again_")
+    run = Refresh(lake)
+    run.start()
+    run.land_files(files)
+    run.land_files(files)
+    run.clean_one(run.outbreak)
+    run.clean()
+    run.clean_one(run.panel)
+    assert lake.tables() and not lake.exists(REJECT_TABLE) and not lake.exists("silver.disease_outbreaks")
+    run.finish()
+    ids = {r.source_table: [] for r in lake.table(REJECT_TABLE).collect()}
+    for row in lake.table(REJECT_TABLE).collect():
+        ids[row.source_table].append(row.reject_id)
+    assert sorted(itertools.chain(*ids.values())) == list(range(1, 8))
+    assert max(ids["bronze.who_health_indicators"]) < min(ids["bronze.disease_outbreaks"])
+    assert lake.table(LOG_TABLE).count() == 3
+    assert not [table for table in lake.tables() if "__" in table]
+
+
+def test_swapped_columns_stop_the_load(spark, files, tmp_path):
+    header = OUTBREAK_HEADER.replace("Confirmed,Deaths", "Deaths,Confirmed")
+    for name, first in (("a.csv", OUTBREAK_HEADER), ("b.csv", header)):
+        write(tmp_path / name, first, plain(demo.OUTBREAK))
+    lake, given = Lake(spark, "heads_"), dataclasses.replace(files, outbreak=str(tmp_path))
+    run = Refresh(lake)
+    run.start()
+    with pytest.raises(delimited.HeaderMismatch, match="b.csv") as raised:
+        run.land_files(given)
+    assert "a.csv" not in str(raised.value) and not run.work.exists("bronze.disease_outbreaks__next")
+    run = Refresh(lake, check_headers=False)
+    run.start()
+    run.land_files(given)
+    assert run.work.table("bronze.disease_outbreaks").count() == 30
+
+
 def test_stored_gate_outcomes_are_deleted(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(scratch, "_root", lambda _: str(tmp_path))
     with pytest.raises(ValueError):

@@ -7,13 +7,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierlake import scratch
-from tierlake.contracts import Contract, capacity_contract, outbreak_contract, panel_contract
+from tierlake.contracts import WIDE_IDS, Contract, capacity_contract, outbreak_contract, panel_contract
 from tierlake.operators import gates
 from tierlake.operators.checks import assert_keys, reconcile
 from tierlake.operators.profiles import stacked
 from tierlake.plans import marts, reports
 from tierlake.plans.scorecard import SCORECARD_KEY, scorecard
-from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, REJECT_SCHEMA, REJECT_TABLE, RUNNING, Lake
+from tierlake.sinks.tables import LOG_SCHEMA, LOG_TABLE, Lake, Release
 from tierlake.sources import delimited, positions
 
 LOAD_CODE = "QG-000"
@@ -32,7 +32,11 @@ class Inputs:
 
 @dataclass
 class Refresh:
-    """One run over a lake. The three contracts may be replaced, e.g. for other year ranges."""
+    """One run over a lake. The three contracts may be replaced, e.g. for other year ranges.
+
+    Nothing of a run is visible in the lake until it ends well. ``check_headers`` compares the first line of every file with the
+    contract's names.
+    """
 
     lake: Lake
     variant: str = "full"
@@ -40,6 +44,7 @@ class Refresh:
     outbreak: Contract | None = None
     capacity: Contract | None = None
     report_unaccounted: bool = False
+    check_headers: bool = True
 
     def __post_init__(self) -> None:
         self.panel = self.panel or panel_contract(self.variant)
@@ -50,6 +55,11 @@ class Refresh:
     def contracts(self) -> tuple[Contract, Contract, Contract]:
         return self.panel, self.outbreak, self.capacity
 
+    @property
+    def work(self) -> Release:
+        """Where this run writes."""
+        return Release(self.lake.spark, self.lake.prefix)
+
     def run(self, inputs: Inputs) -> DataFrame:
         """Everything; returns the reconciliation of the three tables."""
         self.start()
@@ -60,15 +70,14 @@ class Refresh:
         return checked
 
     def start(self) -> None:
-        """Log and rejects of this run gather beside the last run's, which stay until this one ends well."""
-        self.lake.bootstrap()
-        self.lake.empty(LOG_SCHEMA, LOG_TABLE + RUNNING)
-        self.lake.empty(REJECT_SCHEMA, REJECT_TABLE + RUNNING)
+        """Tables, log and rejects of this run gather beside the last run's, which stay until this one ends well."""
+        self.work.begin()
+        self.work.empty(LOG_SCHEMA, LOG_TABLE)
 
     def finish(self) -> None:
-        """This run's log and rejects take the place of the last run's."""
-        self.lake.promote(LOG_TABLE + RUNNING, LOG_TABLE)
-        self.lake.promote(REJECT_TABLE + RUNNING, REJECT_TABLE)
+        """This run's tables, log and rejects take the place of the last run's, all at once."""
+        self.work.gather()
+        self.work.publish()
 
     # -- bronze -------------------------------------------------------------------------------
 
@@ -78,39 +87,47 @@ class Refresh:
             zip(self.contracts, (inputs.panel, inputs.outbreak, inputs.capacity)), start=1
         ):
             wide = inputs.wide if contract is self.capacity else None
+            options = {"separator": contract.separator, "header": True} | (wide or {})
+            # With the check the first lines are read as rows, which the survey knows from the others.
+            checked = self.check_headers and options["header"]
+            if checked:
+                options["header"] = False
             if wide is None:
-                frame = delimited.read_contract(spark, path, contract)
-                self.land(frame, contract, log_id, path, delimited.is_malformed(contract))
+                names, bad = contract.source_columns, delimited.is_malformed(contract)
+                frame = delimited.read_contract(spark, path, contract, **options)
             else:
-                options = {"separator": contract.separator} | wide
                 options.setdefault("years", delimited.header_years(spark, path, options["separator"]))
+                names, bad = [*WIDE_IDS, *options["years"]], delimited.is_malformed_wide(contract, options["years"])
                 frame = delimited.read_wide(spark, path, **options)
-                bad = delimited.is_malformed_wide(contract, options["years"])
-                self.land(frame, contract, log_id, path, bad, wide=True)
+            head = delimited.is_header(names, options["separator"]) if checked else None
+            self.land(frame, contract, log_id, path, bad, wide is not None, head)
 
     def land(
-        self, frame: DataFrame, contract: Contract, log_id: int, path: str, bad: Column, wide: bool = False
+        self, frame: DataFrame, contract: Contract, log_id: int, path: str, bad: Column, wide: bool = False, head: Column | None = None
     ) -> int:
         """Load one frame into its bronze table. A first, narrow pass counts its rows and places them, and ends a
-        load with too many malformed rows before anything is written."""
-        found = positions.survey(frame, bad)
+        load with too many malformed rows, or with a first line that is not ``head``, before anything is written."""
+        found = positions.survey(frame, bad, head)
+        if found.headless:
+            raise delimited.HeaderMismatch(f"{path}: first lines differ from the contract, e.g. in {', '.join(found.headless)}")
         if found.malformed > contract.max_errors:
             raise delimited.TooManyBadRows(f"{path}: {found.malformed} malformed rows, {contract.max_errors} allowed")
-        good = delimited.well_formed(positions.with_ordinal(frame, found), bad)
+        placed = positions.with_ordinal(frame, found)
+        good = delimited.well_formed(placed, bad)
         rows = delimited.wide_to_long(good, contract) if wide else good
-        loaded = self.lake.replace(delimited.add_metadata(rows, contract), contract.bronze_table)
+        loaded = self.work.replace(delimited.add_metadata(rows, contract), contract.bronze_table)
         if found.malformed:
             whole = F.to_json(F.struct(*[c for c in frame.columns if not c.startswith("_")]))
-            skipped = delimited.malformed(frame, bad).select(
+            skipped = delimited.malformed(placed, bad).select(
                 F.lit(contract.bronze_table).alias("source_table"),
                 F.lit(LOAD_CODE).alias("reason_code"),
                 F.lit(LOAD_REASON).alias("reject_reason"),
                 F.coalesce(delimited.CORRUPT, whole).alias("raw_snapshot"),
             )
-            self.lake.append_rejects(skipped, table=REJECT_TABLE + RUNNING)
+            self.work.put_rejects(skipped, log_id)
         src_file = path.rsplit("/", 1)[-1]
-        self.lake.log_load(
-            log_id, contract.bronze_table, src_file, 0, loaded, contract.load_note, LOG_TABLE + RUNNING
+        self.work.log_load(
+            log_id, contract.bronze_table, src_file, 0, loaded, contract.load_note
         )
         return loaded
 
@@ -121,7 +138,7 @@ class Refresh:
 
     def clean_one(self, contract: Contract) -> DataFrame:
         """Gate one bronze table once; silver and quarantine both read the stored outcome."""
-        bronze = self.lake.table(contract.bronze_table)
+        bronze = self.work.table(contract.bronze_table)
         required = [f.target for f in contract.fields if f.required]
 
         def sound(df: DataFrame) -> None:
@@ -130,9 +147,9 @@ class Refresh:
 
         with scratch.temporary(gates.evaluate(bronze, contract, self.report_unaccounted), "gated") as gated:
             silver = gates.loaded(gated, contract).withColumn("_silver_loaded", F.current_timestamp())
-            self.lake.replace(silver, contract.silver_table, sound)
+            self.work.replace(silver, contract.silver_table, sound)
             rejected = gates.rejects(gated, contract, keep_row=True, extra=contract.order)
-            self.lake.append_rejects(rejected, contract.order, REJECT_TABLE + RUNNING)
+            self.work.put_rejects(rejected, len(self.contracts) + 1 + self.contracts.index(contract), contract.order)
             checked = reconcile(gated, contract.bronze_table)
             # One row, which outlives the stored outcome.
             return self.lake.spark.createDataFrame(checked.collect(), checked.schema)
@@ -144,12 +161,12 @@ class Refresh:
 
     def publish(self) -> None:
         """Marts are stored, each readable under the name of its view."""
-        panel, outbreak, capacity = (self.silver(contract) for contract in self.contracts)
+        panel, outbreak, capacity = (self.work.table(contract.silver_table) for contract in self.contracts)
         full = self.variant == "full"
-        replace = self.lake.replace
+        replace = self.work.replace
         replace(marts.country_profile(panel, self.variant), reports.GOLD_PROFILE)
         replace(marts.outbreak_summary(outbreak, self.variant), reports.GOLD_OUTBREAK)
-        profile = self.lake.table(reports.GOLD_PROFILE)
+        profile = self.work.table(reports.GOLD_PROFILE)
         trend = marts.beds_trend(capacity, profile) if full else marts.beds_trend_exact(capacity, panel)
         replace(trend, reports.GOLD_CAPACITY)
         if full:

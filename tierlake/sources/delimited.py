@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierlake.contracts import WIDE_IDS, WIDE_YEARS, Contract
+from tierlake.functions.casts import quoted
 from tierlake.functions.keys import key_hash
 from tierlake.operators.reshape import YEAR_HEADER, unpivot_wide
 from tierlake.sources import positions
@@ -22,6 +23,10 @@ class TooManyBadRows(Exception):
     """A file has more malformed rows than its contract tolerates."""
 
 
+class HeaderMismatch(Exception):
+    """The first line of a file does not name the contract's columns in their order."""
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -81,6 +86,20 @@ def wide_to_long(wide: DataFrame, contract: Contract, years: Sequence[str] | Non
     return unpivot_wide(named, [entity, code, *kept], years, period, value, place)
 
 
+def _bare(text: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")))
+
+
+def is_header(names: Sequence[str], separator: str = ",") -> Column:
+    """Whether a row, read as data, repeats the names in their order; case and stray blanks do not matter.
+
+    A name may hold the separator without quotes: such a line is malformed as a row, and compared as a whole.
+    """
+    fields = reduce(lambda same, n: same & (_bare(F.col(quoted(n))) == _bare(F.lit(n))), names, F.lit(True))
+    whole = _bare(F.col(CORRUPT)) == _bare(F.lit(separator.join(names)))
+    return F.when(F.col(CORRUPT).isNull(), fields).otherwise(whole)
+
+
 def is_malformed(contract: Contract | None = None) -> Column:
     """Wrong number of fields, or longer than a declared column."""
     bad = F.col(CORRUPT).isNotNull()
