@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs are its lines; a line of more than 600 code points counts as its sentences. Each distinct
-paragraph's 64-bit digest is thrown into one cell of each of three tables; a cell holds how many
+A text's paragraphs are the sentences of its lines: pieces end at a line's end and at the blank after a full stop, question mark or
+exclamation mark, whatever their length. Each distinct paragraph's 64-bit digest is thrown into one cell of each of three tables; a cell holds how many
 digests it has, their exclusive or, and the exclusive or of their checks. The sketch of 24 cells, written
 out, is the fingerprint. Subtracting the sketches of two versions cell by cell cancels all that they share;
 peeling then takes out digests from cells that hold a single one, until every differing digest is
@@ -14,7 +14,8 @@ common over all distinct digests.
 
 The next document is the one with the next smaller doc_id; the last is followed by the first. Rows are placed
 by bounds from a quantile summary, as many as shuffle partitions times four, that need not be doc_ids
-themselves (they are not beyond 2^53). The greatest doc_id of each bucket comes from the data, and its rows are
+themselves (they are not beyond 2^53). A row finds its bucket among every n-th of n^2 bounds and then among n of them, and all else
+about a bucket by its number. The greatest doc_id of each bucket comes from the data, and its rows are
 copied to the end of the bucket after which it follows: one shuffle of the texts, no bucket that grows with
 the table unless one doc_id does, nothing collected but the bounds and these doc_ids.
 
@@ -26,13 +27,16 @@ by itself. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierlake.llm import text as T
 
 TABLES, SLOTS = 3, 8
 CELLS = TABLES * SLOTS
-LONG_LINE = 600
+PIECE_ENDS = r"\n|(?<=[.!?])\x20"
 ROUNDS = 10
 # Differing digests that each sketch of 24 cells should meet when a sketch is made larger.
 LOAD = 7
@@ -42,11 +46,8 @@ BUCKETS_PER_PARTITION = 4
 
 def digests(text: Column) -> Column:
     """Distinct digests of the paragraphs that are not empty."""
-    lines = F.transform(
-        F.split(text, "\n"),
-        lambda line: F.when(F.length(line) > LONG_LINE, F.split(line, r"(?<=[.])\x20")).otherwise(F.array(line)),
-    )
-    return F.array_distinct(F.transform(F.filter(F.flatten(lines), lambda p: p != ""), lambda p: F.xxhash64(p)))
+    pieces = F.filter(F.split(text, PIECE_ENDS), lambda p: p != "")
+    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
 def _check(key: Column) -> Column:
@@ -197,45 +198,59 @@ def _nameless() -> Column:
     return F.xxhash64("text")
 
 
-def _places(rows: DataFrame) -> Column:
-    """Where a row of (doc_id, text) is ordered: in its bucket, and as a head after the bucket before.
+def _fixed(values: list[int | None]) -> Column:
+    """An array of numbers, folded into one literal."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+
+def _bucket(bounds: list[int], parts: int) -> Column:
+    """How many bounds are below a doc_id; null doc_ids in ``parts`` ranges of their hash, below 0."""
+    width = math.isqrt(len(bounds)) + 1
+    edges = _fixed(bounds)
+
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda bound: bound < F.col("doc_id")))
+
+    own = T.let(below(_fixed(bounds[width - 1 :: width])), lambda k: k * width + below(F.slice(edges, k * width + 1, width)))
+    part = F.floor((_nameless() / 2.0**64 + 0.5) * parts).cast("int")
+    return F.when(F.col("doc_id").isNull(), -1 - F.least(part, F.lit(parts - 1))).otherwise(own).cast("int")
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows of (doc_id, text) with their ``place``: in their bucket, and once more for heads, after the bucket before.
 
     Buckets follow each other by falling numbers; those of null doc_ids are below 0.
     """
     buckets = BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = F.array(*[F.lit((k + 1) / buckets) for k in range(buckets)])
+    shares = F.expr(f"array({', '.join(f'{(k + 1) / buckets!r}D' for k in range(buckets))})")
     ids = rows.agg(
         F.percentile_approx("doc_id", shares, 20 * buckets).alias("bounds"),
         F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nameless"),
     ).first()
     bounds = sorted(set(ids["bounds"] or []))
-    edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    own = F.size(F.filter(edges, lambda b: b < F.col("doc_id")))
-    if ids["nameless"]:
-        parts = -(-buckets * ids["nameless"] // ids["n"])
-        part = F.floor((_nameless() / 2.0**64 + 0.5) * parts).cast("int")
-        own = F.when(F.col("doc_id").isNull(), -1 - F.least(part, F.lit(parts - 1))).otherwise(own)
-    firsts = [F.max("doc_id").alias("doc_id"), (F.min(_nameless()) if ids["nameless"] else F.lit(None)).cast("bigint").alias("hash")]
-    heads = rows.groupBy(own.alias("b")).agg(*firsts).orderBy(F.desc("b")).collect()
-    if not heads:
-        return F.array(F.struct(F.lit(0).alias("b"), F.lit(0).alias("t")))
-    before = {h["b"]: heads[k - 1]["b"] for k, h in enumerate(heads)}
-    is_head = F.lit(False)
-    for mark, name in ((F.col("doc_id"), "doc_id"), (_nameless(), "hash")):
-        # Buckets of doc_ids have a greatest doc_id, those of null doc_ids a smallest hash.
-        values = [h[name] for h in heads if (h["b"] < 0) == (name == "hash")]
-        if values:
-            of_kind = F.col("doc_id").isNull() if name == "hash" else F.col("doc_id").isNotNull()
-            is_head = is_head | (of_kind & F.array_contains(F.array(*map(F.lit, values)).cast("array<bigint>"), mark))
-    to = F.element_at(F.create_map(*[F.lit(x).cast("int") for pair in before.items() for x in pair]), own)
-    here = F.struct(own.alias("b"), F.lit(0).alias("t"))
-    return F.when(is_head, F.array(here, F.struct(to.alias("b"), F.lit(1).alias("t")))).otherwise(F.array(here))
+    parts = max(1, -(-buckets * ids["nameless"] // max(1, ids["n"])))
+    rows = rows.withColumn("bucket", _bucket(bounds, parts))
+    # Buckets of doc_ids have a greatest doc_id, those of null doc_ids a smallest hash.
+    firsts = rows.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"), F.min(_nameless()).alias("hash"))
+    heads = {h["bucket"]: h for h in firsts.orderBy(F.desc("bucket")).collect()}
+    before = dict(zip(heads, [*list(heads)[-1:], *heads]))
+
+    def known(found: dict) -> Column:
+        numbers = [found.get(b) for b in range(-parts, len(bounds) + 1)]
+        return F.element_at(_fixed(numbers), F.col("bucket") + parts + 1)
+
+    first_id = F.col("doc_id") == known({b: h["doc_id"] for b, h in heads.items()})
+    first_hash = _nameless() == known({b: h["hash"] for b, h in heads.items()})
+    is_head = F.when(F.col("doc_id").isNull(), first_hash).otherwise(first_id)
+    here = F.struct(F.col("bucket").alias("b"), F.lit(0).alias("t"))
+    after = F.struct(known(before).cast("int").alias("b"), F.lit(1).alias("t"))
+    return rows.withColumn("place", F.explode(F.when(is_head, F.array(here, after)).otherwise(F.array(here)))).drop("bucket")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, digests, next_text, next_digests) of every document."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), T.text_or_empty().alias("text"))
-    rows = rows.select("*", digests(F.col("text")).alias("digests"), F.explode(_places(rows)).alias("place"))
+    rows = _placed(rows).withColumn("digests", digests(F.col("text")))
     nameless = F.when(F.col("doc_id").isNull(), _nameless())
     order = Window.partitionBy("place.b").orderBy(F.col("place.t"), F.col("doc_id").desc_nulls_last(), nameless, "text")
     rows = rows.withColumns({"next_text": F.lead("text").over(order), "next_digests": F.lead("digests").over(order)})
