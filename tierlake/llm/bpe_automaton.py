@@ -5,12 +5,18 @@ loops over all base symbols. Each merge (u, v) in turn adds a gadget: a copy of
 has lost its v arc, to which all u arcs are led, and a uv arc from every state with a u arc to the state
 behind v. All arcs of one token always lead to one state, so a gadget is four numbers: the state it
 copies, the arc that the copy lost, when, and the state behind the new token. Whether a state has an
-arc follows from these tables in a short walk; walks are kept in a transition table of bounded size.
-A merge whose v arc is missing adds nothing, as the plain algorithm could never apply it.
+arc follows from these tables in a short walk. A merge whose v arc is missing adds nothing, as the plain
+algorithm could never apply it.
 
-A word has exactly one accepted tokenization; encoding follows the longest arcs that spell it and steps
-back where the automaton has none. Decoding emits the labels of the arcs, joined by spaces as the
-public library does for vocabularies without a decoder.
+Encoding reads symbols. Each arc is spelled out by the trie of its token's symbols, and the automaton of all
+places (state, trie node) that a word may have reached is made deterministic as it is used: its transitions
+(state, symbol) are kept in a table of bounded size. Every beginning of a word has exactly one accepted
+tokenization, so a transition also names the one token that ends at its symbol; the tokens of a word are read
+off backwards from its end. Each symbol is one look-up, and nothing is tried twice. Decoding emits the labels
+of the arcs, joined by spaces as the public library does for vocabularies without a decoder.
+
+Python's Unicode tables are of other versions than the library's. Where a code point's lower case or class
+differs, the library's own normalizer and classes, asked once on the driver for every code point, decide.
 
 Vocabulary and merges come from a tokenizer file read on the driver and sent to tasks once (some
 megabytes, bounded by the vocabulary). Null texts count as empty: no tokens, hashes of nothing. Rows are
@@ -24,7 +30,7 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +39,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierlake.llm import text as T
 
-KEPT_WORDS, KEPT_ARCS = 120_000, 500_000
+KEPT_WORDS, KEPT_STATES = 120_000, 50_000
+_LOW = (1 << 32) - 1
+# A letter, a number and a sign that every version knows, beyond ASCII so that no literal of a pattern names them.
+STAND_INS = {"L": "é", "N": "½", "": "§"}
 
 
 def byte_letters() -> list[str]:
@@ -51,29 +60,77 @@ def base_symbols(label: str, end: str) -> list[str]:
     return list(label)
 
 
+def _runs(chars: Sequence[str]) -> str:
+    """The inside of a character set, as ranges."""
+    codes = np.array(sorted(map(ord, chars)))
+    cuts = np.flatnonzero(np.diff(codes) != 1) + 1
+    return "".join(f"\\U{part[0]:08x}-\\U{part[-1]:08x}" for part in np.split(codes, cuts))
+
+
+def unicode_departures() -> tuple[dict[str, str], dict[int, str]]:
+    """Code points that the library normalises otherwise than Python, with its result; those that it puts in another
+    class (letter, number, neither) than ``regex``, with a stand-in of the library's class."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    chars = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000]
+    lower = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str("\n".join(chars)).split("\n")
+    changed = {c: x for c, x in zip(chars, lower, strict=True) if x != unicodedata.normalize("NFC", c).lower()}
+    text = "".join(chars)
+    kinds = [np.zeros(len(text), "U1") for _ in range(2)]
+    for kind in ("L", "N"):
+        pattern = rf"\p{{{kind}}}+"
+        outside = pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text)
+        inside = np.ones(len(text), bool)
+        for _, (start, stop) in outside:
+            inside[start:stop] = False
+        kinds[0][inside] = kind
+        for found in regex.finditer(pattern, text):
+            kinds[1][found.start() : found.end()] = kind
+    differ = np.flatnonzero(kinds[0] != kinds[1])
+    return changed, {ord(chars[k]): STAND_INS[str(kinds[0][k])] for k in differ.tolist()}
+
+
 class Automaton:
-    """Gadget tables of all merges over the token ids of ``vocabulary``."""
+    """Gadget tables of all merges over the token ids of ``vocabulary``, and the transitions met so far."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], end: str = "") -> None:
-        self.spelling: dict = {}  # a trie over base symbols, ids under the empty string
-        for label, token in vocabulary.items():
-            node = self.spelling
-            for symbol in base_symbols(label, end):
-                node = node.setdefault(symbol, {})
-            node[""] = token
         size = max(vocabulary.values(), default=-1) + 1
+        self.symbols: dict[str, int] = {}
+        # The trie of all tokens over numbered symbols: steps of (node, symbol), tokens that end at nodes, nodes with steps.
+        self.steps: dict[int, int] = {}
+        self.ends, self.inner = [-1], [False]
+        self.length = [0] * size
         self.made, self.left, self.dead = [0] * size, [-1] * size, [False] * size
+        for label, token in vocabulary.items():
+            letters = base_symbols(label, end)
+            self._spell([self.symbols.setdefault(x, len(self.symbols)) for x in letters], token)
+            self.dead[token] = len(letters) > 1  # until a merge makes it
         self.parent, self.lost, self.born = [0], [-1], [0]
         self.behind = [0] * size
         for turn, (u, v) in enumerate(merges, 1):
             self._add(turn, vocabulary[u], vocabulary[v], vocabulary[u + v])
-        self.arcs: dict[int, bool] = {}
+        # Deterministic states: the places each stands for, its number, and its transitions (next state, token that ends).
+        self.places: list[tuple[int, ...]] = [(0,)]
+        self.numbers: dict[tuple[int, ...], int] = {(0,): 0}
+        self.moves: list[dict[int, int]] = [{}]
+
+    def _spell(self, symbols: list[int], token: int) -> None:
+        node = 0
+        for symbol in symbols:
+            key = node << 32 | symbol
+            if key not in self.steps:
+                self.steps[key] = len(self.ends)
+                self.inner[node] = True
+                self.ends.append(-1)
+                self.inner.append(False)
+            node = self.steps[key]
+        self.ends[node], self.length[token] = token, len(symbols)
 
     def _add(self, turn: int, u: int, v: int, new: int) -> None:
         self.made[new], self.left[new] = turn, u
         state = self.behind[u]
-        if not self._walk(state, v):
-            self.dead[new] = True
+        self.dead[new] = not self._has_arc(state, v)
+        if self.dead[new]:
             return
         self.behind[new] = self.behind[v]
         self.behind[u] = len(self.born)
@@ -81,7 +138,7 @@ class Automaton:
         self.lost.append(v)
         self.born.append(turn)
 
-    def _walk(self, state: int, token: int) -> bool:
+    def _has_arc(self, state: int, token: int) -> bool:
         made, left, dead, parent, lost, born = self.made, self.left, self.dead, self.parent, self.lost, self.born
         while True:
             if made[token] >= born[state]:  # the arc came after the state: it is there if the left part's is
@@ -95,49 +152,59 @@ class Automaton:
             else:
                 state = parent[state]
 
-    def has_arc(self, state: int, token: int) -> bool:
-        key = state << 32 | token
-        found = self.arcs.get(key)
-        if found is None:
-            if len(self.arcs) >= KEPT_ARCS:
-                self.arcs.clear()
-            found = self.arcs[key] = self._walk(state, token)
+    def _move(self, at: int, symbol: int) -> int:
+        """The transition from a state by a symbol: next state and token, as one number."""
+        reached, ended = [], -1
+        for place in self.places[at]:
+            node = self.steps.get((place & _LOW) << 32 | symbol)
+            if node is None:
+                continue
+            if self.inner[node]:
+                reached.append(place & ~_LOW | node)
+            token = self.ends[node]
+            if ended < 0 <= token and self._has_arc(place >> 32, token):
+                ended = token
+        if ended < 0:
+            raise ValueError("no tokenization")
+        reached.append(self.behind[ended] << 32)
+        key = tuple(reached)
+        after = self.numbers.get(key)
+        if after is None:
+            if len(self.numbers) >= KEPT_STATES:
+                self._forget()
+                at = -1
+            after = self.numbers[key] = len(self.places)
+            self.places.append(key)
+            self.moves.append({})
+        found = after << 32 | ended
+        if at >= 0:
+            self.moves[at][symbol] = found
         return found
 
+    def _forget(self) -> None:
+        """Keep the first state only; the others are found again when met."""
+        del self.places[1:], self.moves[1:]
+        self.moves[0].clear()
+        self.numbers.clear()
+        self.numbers[self.places[0]] = 0
+
     def encode(self, symbols: list[str]) -> list[int]:
         """Ids of a non-empty word of base symbols."""
-        n, behind, root = len(symbols), self.behind, self.spelling
-        closed: set[tuple[int, int]] = set()
-        path: list[tuple[int, list[tuple[int, int]]]] = []  # state before, arcs not tried yet, shortest first
-        place, state = 0, 0
-        tokens: list[int] = []
-        ends: list[int] = []
-        choices = None
-        while place < n:
-            if choices is None:
-                choices, node, at = [], root, place
-                while at < n and (node := node.get(symbols[at])) is not None:
-                    at += 1
-                    if (token := node.get("")) is not None:
-                        choices.append((token, at))
-            while choices:
-                token, at = choices.pop()
-                if self.has_arc(state, token) and (not closed or (at, behind[token]) not in closed):
-                    break
-            else:
-                if not tokens:
-                    raise ValueError(f"no tokenization of {''.join(symbols)[:80]!r}")
-                closed.add((place, state))
-                tokens.pop()
-                ends.pop()
-                state, choices = path.pop()
-                place = ends[-1] if ends else 0
-                continue
-            path.append((state, choices))
-            tokens.append(token)
-            ends.append(at)
-            place, state, choices = at, behind[token], None
-        return tokens
+        at, moves, ended = 0, self.moves, array("L")
+        for name in symbols:
+            symbol = self.symbols.get(name)
+            if symbol is None:
+                raise ValueError(f"no token holds {name!r}")
+            found = moves[at].get(symbol)
+            if found is None:
+                found = self._move(at, symbol)
+            at = found >> 32
+            ended.append(found & _LOW)
+        tokens, place = [], len(ended)
+        while place:
+            tokens.append(ended[place - 1])
+            place -= self.length[tokens[-1]]
+        return tokens[::-1]
 
 
 class Tokenizer:
@@ -153,6 +220,7 @@ class Tokenizer:
         self.split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = {i: label for label, i in [*model["vocab"].items(), *self.added.items()]}
+        self.changed, self.stand_ins = unicode_departures()
         self._prepare()
 
     def _prepare(self) -> None:
@@ -160,6 +228,8 @@ class Tokenizer:
         # The same for ASCII texts, where the standard module's engine is faster.
         spaces = "".join(re.escape(c) for c in map(chr, range(128)) if regex.match(r"\s", c))
         self._split_ascii = re.compile(self.split.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9").replace(r"\s", spaces))
+        odd = {*self.changed, *map(chr, self.stand_ins)}
+        self._odd = re.compile(f"[{_runs(odd)}]" if odd else "(?!)")
         self._added = re.compile("|".join(re.escape(a) for a in sorted(self.added, key=len, reverse=True)) or "(?!)")
         self._letters = byte_letters()
         self._words: dict[str, bytes] = {}
@@ -187,6 +257,10 @@ class Tokenizer:
         known = self._words
         if text.isascii():
             words = self._split_ascii.findall(text.lower())
+        elif self._odd.search(text):
+            text = "".join([self.changed.get(c) or c.lower() for c in unicodedata.normalize("NFC", text)])
+            # Stand-ins are as long as what they stand for, so the places of the words are the same.
+            words = [text[m.start() : m.end()] for m in self._split.finditer(text.translate(self.stand_ins))]
         else:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # one by one: no final sigma
             words = self._split.findall(text)
