@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierlake.llm import text as T
 
-KEPT_WORDS, KEPT_STATES = 120_000, 50_000
+KEPT_WORDS, KEPT_STATES, KEPT_ARCS = 120_000, 150_000, 500_000
 _LOW = (1 << 32) - 1
 # A letter, a number and a sign that every version knows, beyond ASCII so that no literal of a pattern names them.
 STAND_INS = {"L": "é", "N": "½", "": "§"}
@@ -60,11 +60,11 @@ def base_symbols(label: str, end: str) -> list[str]:
     return list(label)
 
 
-def _runs(chars: Sequence[str]) -> str:
+def _runs(codes: Sequence[int]) -> str:
     """The inside of a character set, as ranges."""
-    codes = np.array(sorted(map(ord, chars)))
-    cuts = np.flatnonzero(np.diff(codes) != 1) + 1
-    return "".join(f"\\U{part[0]:08x}-\\U{part[-1]:08x}" for part in np.split(codes, cuts))
+    ordered = np.array(sorted(codes))
+    cuts = np.flatnonzero(np.diff(ordered) != 1) + 1
+    return "".join(f"\\U{part[0]:08x}-\\U{part[-1]:08x}" for part in np.split(ordered, cuts))
 
 
 def unicode_departures() -> tuple[dict[str, str], dict[int, str]]:
@@ -72,22 +72,27 @@ def unicode_departures() -> tuple[dict[str, str], dict[int, str]]:
     class (letter, number, neither) than ``regex``, with a stand-in of the library's class."""
     from tokenizers import Regex, normalizers, pre_tokenizers
 
-    chars = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000]
-    lower = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str("\n".join(chars)).split("\n")
-    changed = {c: x for c, x in zip(chars, lower, strict=True) if x != unicodedata.normalize("NFC", c).lower()}
-    text = "".join(chars)
-    kinds = [np.zeros(len(text), "U1") for _ in range(2)]
-    for kind in ("L", "N"):
-        pattern = rf"\p{{{kind}}}+"
-        outside = pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text)
-        inside = np.ones(len(text), bool)
-        for _, (start, stop) in outside:
-            inside[start:stop] = False
-        kinds[0][inside] = kind
-        for found in regex.finditer(pattern, text):
-            kinds[1][found.start() : found.end()] = kind
-    differ = np.flatnonzero(kinds[0] != kinds[1])
-    return changed, {ord(chars[k]): STAND_INS[str(kinds[0][k])] for k in differ.tolist()}
+    normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+    outside = {kind: pre_tokenizers.Split(Regex(rf"\p{{{kind}}}+"), "removed") for kind in "LN"}
+    known = {kind: regex.compile(rf"\p{{{kind}}}+") for kind in "LN"}
+    changed, stand_ins = {}, {}
+    for at in range(128, 0x110000, 4096):  # a few at a time, so that the driver holds none of the rest
+        text = "".join(chr(c) for c in range(at, min(at + 4096, 0x110000)) if not 0xD800 <= c < 0xE000)
+        if not text:
+            continue
+        lower = normal.normalize_str("\n".join(text)).split("\n")
+        changed |= {c: x for c, x in zip(text, lower, strict=True) if x != unicodedata.normalize("NFC", c).lower()}
+        theirs, mine = [""] * len(text), [""] * len(text)
+        for kind in "LN":
+            inside = np.ones(len(text), bool)
+            for _, (start, stop) in outside[kind].pre_tokenize_str(text):
+                inside[start:stop] = False
+            for k in np.flatnonzero(inside).tolist():
+                theirs[k] = kind
+            for found in known[kind].finditer(text):
+                mine[found.start() : found.end()] = [kind] * (found.end() - found.start())
+        stand_ins |= {ord(c): STAND_INS[x] for c, x, y in zip(text, theirs, mine, strict=True) if x != y}
+    return changed, stand_ins
 
 
 class Automaton:
@@ -113,6 +118,7 @@ class Automaton:
         self.places: list[tuple[int, ...]] = [(0,)]
         self.numbers: dict[tuple[int, ...], int] = {(0,): 0}
         self.moves: list[dict[int, int]] = [{}]
+        self.arcs: dict[int, bool] = {}  # arcs asked for before
 
     def _spell(self, symbols: list[int], token: int) -> None:
         node = 0
@@ -162,10 +168,16 @@ class Automaton:
             if self.inner[node]:
                 reached.append(place & ~_LOW | node)
             token = self.ends[node]
-            if ended < 0 <= token and self._has_arc(place >> 32, token):
-                ended = token
+            if ended < 0 <= token:
+                arc = place & ~_LOW | token
+                if arc not in self.arcs:
+                    if len(self.arcs) >= KEPT_ARCS:
+                        self.arcs.clear()
+                    self.arcs[arc] = self._has_arc(place >> 32, token)
+                if self.arcs[arc]:
+                    ended = token
         if ended < 0:
-            raise ValueError("no tokenization")
+            raise ValueError("no token holds a symbol of the word")
         reached.append(self.behind[ended] << 32)
         key = tuple(reached)
         after = self.numbers.get(key)
@@ -188,22 +200,28 @@ class Automaton:
         self.numbers.clear()
         self.numbers[self.places[0]] = 0
 
+    def number(self, name: str) -> int:
+        """The number of a base symbol, or -1."""
+        return self.symbols.get(name, -1)
+
     def encode(self, symbols: list[str]) -> list[int]:
         """Ids of a non-empty word of base symbols."""
-        at, moves, ended = 0, self.moves, array("L")
-        for name in symbols:
-            symbol = self.symbols.get(name)
-            if symbol is None:
-                raise ValueError(f"no token holds {name!r}")
+        return self.read([self.number(name) for name in symbols])
+
+    def read(self, symbols: list[int]) -> list[int]:
+        """Ids of a non-empty word of numbered symbols."""
+        at, moves, ended = 0, self.moves, []
+        for symbol in symbols:
             found = moves[at].get(symbol)
             if found is None:
                 found = self._move(at, symbol)
             at = found >> 32
             ended.append(found & _LOW)
-        tokens, place = [], len(ended)
+        tokens, place, length = [], len(ended), self.length
         while place:
-            tokens.append(ended[place - 1])
-            place -= self.length[tokens[-1]]
+            token = ended[place - 1]
+            tokens.append(token)
+            place -= length[token]
         return tokens[::-1]
 
 
@@ -228,10 +246,12 @@ class Tokenizer:
         # The same for ASCII texts, where the standard module's engine is faster.
         spaces = "".join(re.escape(c) for c in map(chr, range(128)) if regex.match(r"\s", c))
         self._split_ascii = re.compile(self.split.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9").replace(r"\s", spaces))
-        odd = {*self.changed, *map(chr, self.stand_ins)}
-        self._odd = re.compile(f"[{_runs(odd)}]" if odd else "(?!)")
+        # Beyond the first plane every code point counts as odd: its ranges would be tried one by one for each character.
+        odd = {*map(ord, self.changed), *self.stand_ins}
+        self._odd = re.compile(f"[{_runs([c for c in odd if c < 0x10000])}\\U00010000-\\U0010ffff]")
         self._added = re.compile("|".join(re.escape(a) for a in sorted(self.added, key=len, reverse=True)) or "(?!)")
-        self._letters = byte_letters()
+        letters, number = byte_letters(), self.automaton.number
+        self._inner, self._last = [number(x) for x in letters], [number(x + self.end) for x in letters]
         self._words: dict[str, bytes] = {}
 
     def __getstate__(self) -> dict:
@@ -246,9 +266,10 @@ class Tokenizer:
         if known is None:
             if len(self._words) >= KEPT_WORDS:
                 self._words.clear()
-            symbols = [self._letters[b] for b in word.encode()]
-            symbols[-1] += self.end
-            known = array("I", self.automaton.encode(symbols)).tobytes()
+            data = word.encode()
+            symbols = [self._inner[b] for b in data]
+            symbols[-1] = self._last[data[-1]]
+            known = array("I", self.automaton.read(symbols)).tobytes()
             if len(word) <= 64:
                 self._words[word] = known
         return known
