@@ -107,12 +107,17 @@ def ingest_csv(spark: SparkSession, d: str) -> DataFrame:
     return delimited.well_formed(frame).select(*star.panel().source_columns)
 
 
+ROWS_PER_FILE = 250_000
+
+
 def panel_files(spark: SparkSession, d: str) -> DataFrame:
     """The raw rows as delimited files in the order of o_orderkey, read back with their place in the load."""
     path = scratch.folder(spark, "csv")
     rows = star.panel_bronze(spark, d)
     columns = star.panel().source_columns
-    ranged = rows.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").select("o_orderkey", *columns)
+    # Several files of a small load, and of a large one as many as it takes to keep each in bounds.
+    files = max(5, -(-star.table(spark, d, "orders").count() // ROWS_PER_FILE))
+    ranged = rows.repartitionByRange(files, "o_orderkey").sortWithinPartitions("o_orderkey").select("o_orderkey", *columns)
     ranged.write.option("header", True).csv(path)
     frame = delimited.read_delimited(spark, path, ["o_orderkey", *columns])
     return positions.with_ordinal(frame, positions.survey(frame, delimited.is_malformed()))
