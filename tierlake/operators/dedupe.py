@@ -38,21 +38,25 @@ def flag_first(
     order: Sequence[str],
     subsets: dict[str, Column],
     unique: bool = True,
+    carried: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add one boolean per subset: is this row the first of its key among the rows of the subset?
 
     NULLs come first in ``order``. Rows outside a subset get false. ``unique`` says that no two rows of a key share their place
     in the order; else a hash of the whole row tells them apart (see ``row_hash``), and of rows alike throughout
-    one is taken, so that exactly one row per key and subset is first either way.
+    one is taken, so that exactly one row per key and subset is first either way. ``carried`` adds columns that are computed
+    before the rows are shuffled; they take no part in any order.
     """
     if not unique:
         # Stored, because the number must be the same where the first rows are found and where they are marked.
         numbered = df.withColumns({"_tie": row_hash(df), "_number": F.monotonically_increasing_id()})
         told_apart = scratch.stored(numbered, "numbered")
-        return flag_first(told_apart, keys, [*order, "_tie", "_number"], subsets).drop("_tie", "_number")
+        return flag_first(told_apart, keys, [*order, "_tie", "_number"], subsets, carried=carried).drop("_tie", "_number")
     names = [f"_key{i}" for i in range(len(keys))]
-    keyed = df.withColumns(dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()})
+    keyed = df.withColumns(dict(zip(names, keys)) | {f"_in_{s}": c for s, c in subsets.items()} | (carried or {}))
     keyed = keyed.withColumn("_at", F.struct(*order))
+    # Leads the join, so that its sorts compare numbers and look at places and key texts only where these are equal.
+    spot = F.xxhash64("_at", *names)
     hashed = F.xxhash64(*names).alias("_hash")
     inside = keyed.filter(" OR ".join(f"_in_{s}" for s in subsets)).groupBy(hashed, *names)
     if len(order) == 1:
@@ -79,13 +83,14 @@ def flag_first(
         firsts.select(*names, F.explode(F.array_distinct(F.array(*marks))).alias("_mark"))
         .filter("_mark.at IS NOT NULL")
         .select(*names, F.col("_mark.at").alias("_at"), *[F.col(f"_mark.{s}").alias(s) for s in subsets])
+        .withColumn("_spot", spot)
     )
-    # The place first: it differs, so that comparing rows seldom goes on to the key texts. Structs are
-    # equal where their fields are equal or both NULL.
+    # The place differs from row to row, so the join is even. Structs are equal where their fields are equal or both NULL.
     return (
-        keyed.join(spots, ["_at", *names], "left")
+        keyed.withColumn("_spot", spot)
+        .join(spots, ["_spot", "_at", *names], "left")
         .withColumns({s: F.coalesce(F.col(s), F.lit(False)) & F.col(f"_in_{s}") for s in subsets})
-        .drop(*names, "_at")
+        .drop(*names, "_at", "_spot")
     )
 
 

@@ -55,22 +55,25 @@ def evaluate(
     ranked, loadable = gate.ranked(contract), gate.loaded(contract)
     # Where both rankings cover the same rows, one serves for both.
     first = "_load" if ranked == loadable else "_first"
+    # One bit for each rule, found before the shuffle: what is generated behind the join stays small enough to be compiled.
+    bits = [f"CASE WHEN {rule.fails(contract)} THEN {1 << i}L ELSE 0L END" for i, rule in enumerate(contract.rules)]
     flagged = flag_first(
         bronze,
         [F.expr(key) for key in contract.key_columns()],
         contract.order,
         {first: F.expr(ranked), "_load": F.expr(loadable)},
         contract.order_is_unique,
+        {"_rules": F.expr(" + ".join(bits) or "0L")},
     )
     repeated = _failure(gate.code, gate.reason, snapshot_sql(gate.snapshot) if snapshots else None)
     duplicate = f"_in_{first} AND NOT {first}"
-    fails = [*[rule.fails(contract) for rule in contract.rules], duplicate]
+    fails = [*[f"(_rules & {1 << i}L) <> 0L" for i in range(len(bits))], duplicate]
     missing = ""
     if report_unaccounted:
         everything = snapshot_sql(tuple((name, name) for name in contract.source_columns)) if snapshots else None
         missing = f"WHEN NOT _in__load THEN array({_failure(UNACCOUNTED_CODE, UNACCOUNTED_REASON, everything)})"
     failed = _listed(fails, [*_failures(contract, snapshots), repeated], missing)
-    return flagged.withColumn("_failed", F.expr(failed)).drop("_in__first", "_in__load", "_first")
+    return flagged.withColumn("_failed", F.expr(failed)).drop("_in__first", "_in__load", "_first", "_rules")
 
 
 def rejects(

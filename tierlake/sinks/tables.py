@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tierlake import scratch
 from tierlake.contracts import INGEST_ORDER
 from tierlake.operators.ranking import dense_index
 
@@ -142,8 +143,10 @@ class Lake:
         """
         last = self.table(table).agg(F.max("reject_id")).first()[0] or 0
         counted = Observation()
-        rows = self._numbered(rejected, order, last).observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("append").saveAsTable(self.name(table))
+        # Numbering reads the rows twice, to find the ranges and to place them; the gates behind them run once.
+        with scratch.temporary(rejected, "rejects") as found:
+            rows = self._numbered(found, order, last).observe(counted, F.count(F.lit(1)).alias("rows"))
+            rows.write.mode("append").saveAsTable(self.name(table))
         return counted.get["rows"]
 
     def _numbered(self, rejected: DataFrame, order: tuple[str, ...], last: int = 0) -> DataFrame:
