@@ -104,10 +104,22 @@ def loaded(gated: DataFrame, contract: Contract) -> DataFrame:
 def silver(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Typed silver rows straight from bronze, when the rejects are not wanted: one shuffle."""
     usable = bronze.filter(contract.duplicates.loaded(contract))
-    keys = [F.expr(key) for key in contract.key_columns()]
     # The hash reads every raw column, so it is only there where it decides something.
     ties = [] if contract.order_is_unique else [row_hash(bronze)]
-    return keep_first(usable, keys, [*contract.order, *ties]).selectExpr(*contract.silver_columns())
+    # Rows are cast before the shuffle: typed values are narrower than the raw text, and most key columns are among them.
+    typed = {f"_s{i}": (f, contract.value(f.source)) for i, f in enumerate(contract.fields)}
+    held = {f.source: name for name, (f, _) in typed.items() if f.dtype == "string" and not f.upper and contract.match == "exact"}
+    keys = {f"_k{i}": (source, key) for i, (source, key) in enumerate(zip(contract.key, contract.key_columns(), strict=True))}
+    # A silver text is the trimmed key with NULL for blank, which groups the same rows.
+    names = [held.get(source, name) for name, (source, _) in keys.items()]
+    places = [*contract.order, *ties]
+    narrow = usable.select(
+        *[F.expr(value).alias(name) for name, (_, value) in typed.items()],
+        *[F.expr(key).alias(name) for name, (source, key) in keys.items() if source not in held],
+        *[(F.col(place) if isinstance(place, str) else place).alias(f"_o{i}") for i, place in enumerate(places)],
+    )
+    first = keep_first(narrow, names, [f"_o{i}" for i in range(len(places))])
+    return first.select(*[F.col(name).alias(f.target) for name, (f, _) in typed.items()])
 
 
 def mark_known(bronze: DataFrame, column: str, codes: DataFrame, name: str = "_known") -> DataFrame:
