@@ -7,8 +7,9 @@ fitted to pattern matches, drawn apart from texts without any over the whole tab
 once as it is and then with other secrets, key words and signs in their places, with the words around hidden at random, so that
 it learns the look of a secret and of its place and not only the patterns.
 
-Tokens far from any cue (a digit, a long run of word characters, a key word, an assignment) are outside by
-definition; the field reads the stretches around cues, in every part of every text, whatever its length. An added span is cut back to
+The field tags every token of every text, whatever its length. It is learned on the stretches around cues (a digit, a long run of
+word characters, a key word, an assignment), which are part of the bounded sample. Weights of all tokens are added up at once; a token at which outside is
+best whatever its neighbours are needs no search, and Viterbi's search joins the others (see ``_Weights``). An added span is cut back to
 what the patterns leave of it.
 Spans are (kind, start, end) in code points, end exclusive; added ones have kind crf and overlap none
 of the others. Null texts count as empty and have no spans; rows are independent, so repeated
@@ -18,8 +19,9 @@ act.
 
 from __future__ import annotations
 
-import functools
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -44,6 +46,8 @@ LONG = re.compile(r"(?<![\w+/-])[\w+/-]{20,}")
 ASSIGNED = re.compile(r"\w[\"']?\s?(?:=>?|:)\s?[\"']?\w")
 CUE_WORDS = "pass|secret|token|key|auth|cred|pwd|bearer|access|private|login"
 CUE_WORD, CUE_WORD_ANY_CASE = re.compile(CUE_WORDS), re.compile(CUE_WORDS, re.IGNORECASE)
+BLANK = re.compile(r"\s")
+PART, TOKENS_AT_ONCE = 1_000_000, 65_536  # code points of a text, tokens
 TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 REACH = 48  # code points that a stretch goes beyond a cue
 # What is a key word: a token without digits, one of whose parts (cut at _ and -, small letters) is one of these or ends in one.
@@ -75,11 +79,16 @@ def pattern_spans(text: str) -> list[tuple[str, int, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def stretches(text: str) -> tuple[list[tuple[int, int]], int]:
-    """Parts of a text around cues, widened to white space, and how many cues the file has."""
+def _cues(text: str) -> Iterator[re.Match]:
     low = text.lower()  # rarely of another length; then its places are not those of the text
     words = CUE_WORD.finditer(low) if len(low) == len(text) else CUE_WORD_ANY_CASE.finditer(text)
-    cues = sorted(m.span() for found in (DIGITS.finditer(text), LONG.finditer(text), words, ASSIGNED.finditer(text)) for m in found)
+    assigned = ASSIGNED.finditer(text) if "=" in text or ":" in text else ()
+    return itertools.chain(DIGITS.finditer(text), LONG.finditer(text), words, assigned)
+
+
+def stretches(text: str) -> tuple[list[tuple[int, int]], int]:
+    """Parts of a text around cues, widened to white space, and how many cues the file has."""
+    cues = sorted(m.span() for m in _cues(text))
     parts: list[list[int]] = []
     for a, b in cues:
         start, end = max(0, a - REACH), min(len(text), b + REACH)
@@ -102,35 +111,47 @@ def stretches(text: str) -> tuple[list[tuple[int, int]], int]:
     return joined, len(cues)
 
 
+_DIGITS, _HEX_DIGITS, _CUT = frozenset("0123456789"), frozenset("0123456789abcdef"), re.compile("[_-]")
+
+
 def _shape(word: str) -> str:
     if len(word) == 1 and not word.isalnum():
         return word
-    digit, lower, upper = any("0" <= c <= "9" for c in word), word != word.upper(), word != word.lower()
+    lower, upper = word != word.upper(), word != word.lower()
+    if word.isalpha():
+        return ("a" if lower else "") + ("A" if upper else "") + ("" if word.isascii() else "u")
+    digit = not _DIGITS.isdisjoint(word)
     kind = ("0" if digit else "") + ("a" if lower else "") + ("A" if upper else "")
-    if digit and not upper and all(c in "0123456789abcdef" for c in word):
+    if digit and not upper and _HEX_DIGITS.issuperset(word):
         kind += "h"
     if not word.isascii():
         kind += "u"
-    return kind + ("+" if any(c in "+/" for c in word) else "") + ("-" if "-" in word or "_" in word else "")
+    return kind + ("+" if "+" in word or "/" in word else "") + ("-" if "-" in word or "_" in word else "")
 
 
-@functools.lru_cache(maxsize=50_000)
 def _name(word: str) -> str:
     """What neighbours see of a token: that it is a key word, a little word that joins, or its shape."""
-    if len(word) <= 24 and not any(c.isdigit() for c in word):
+    if len(word) <= 24 and (word.isalpha() or not any(c.isdigit() for c in word)):
         low = word.lower()
-        if any(part.endswith(KEY_WORDS) for part in re.split(r"[_-]", low)):
+        if low.endswith(KEY_WORDS) or any(part.endswith(KEY_WORDS) for part in _CUT.split(low)[:-1]):
             return "key"
         if low in ("is", "to", "was"):
             return low
     return _shape(word)
 
 
-_SIZES = np.array([2, 4, 6, 12, 20, 24, 40])
+_SIZES = (2, 4, 6, 12, 20, 24, 40)
 
 
 def _size(word: str) -> int:
-    return int(np.searchsorted(_SIZES, len(word), "right"))
+    return bisect.bisect_right(_SIZES, len(word))
+
+
+MANY_CUES = 20
+
+
+def _file(cues: int) -> int:
+    return min(cues, 3) if cues < MANY_CUES else 4
 
 
 def features(tokens: list[str], cues: int) -> list[list[str]]:
@@ -139,7 +160,7 @@ def features(tokens: list[str], cues: int) -> list[list[str]]:
     sizes = [_size(t) for t in tokens]
     names = [_name(t) if len(t) <= 64 else s for t, s in zip(tokens, shapes, strict=True)]
     names = ["<", "<", "<", *names, ">"]
-    file = min(cues, 3) if cues < 20 else 4
+    file = _file(cues)
     out = []
     for i, shape in enumerate(shapes):
         before, back, further, after = names[i + 2], names[i + 1], names[i], names[i + 4]
@@ -178,6 +199,161 @@ class Field:
         return tags[::-1]
 
 
+class _Weights:
+    """A field's weights by kind of token (shape, size and name), and Viterbi's best labels of whole texts from them.
+
+    The labels are those of ``Field.tags``. Where outside beats both other labels by more than all transitions around it can give
+    back, every best path passes through outside, so that the path falls into parts which are searched one by one.
+    """
+
+    CACHED, START, END = 200_000, 0, 1
+
+    def __init__(self, field: Field) -> None:
+        self.index, self.emit, self.move = field.index, field.emit, field.move
+        names = ["", *sorted({f[2:] for f in field.index if f[:2] in ("k1", "k2", "k3", "k4")})]
+        # Number 0 is every name that was not learned: none of its features has a weight.
+        self.names = {name: i for i, name in enumerate(names)}
+        self.further, self.after = (np.stack([self._of(f"{k}{name}") for name in names]) for k in ("k3", "k4"))
+        self.further[0] = self.after[0] = 0
+        near, back = (np.stack([self._of(f"{k}{name}") for name in names]) for k in ("k1", "k2"))
+        near[0] = back[0] = 0
+        self.near, self.back = near, back
+        pairs = [(i, j, f"k5{a},{b}") for i, a in enumerate(names) for j, b in enumerate(names) if i and j and f"k5{a},{b}" in field.index]
+        self.pair = np.zeros((len(names), len(names)), np.int32)
+        for n, (i, j, _) in enumerate(pairs, start=1):
+            self.pair[i, j] = n
+        self.paired = np.stack([np.zeros(3), *[self._of(f) for _, _, f in pairs]])
+        self.kinds: dict[tuple[str, int, str], int] = {}
+        self.rows: list[np.ndarray] = []
+        self.name_of: list[int] = []
+        self.table, self.name_table = np.zeros((0, 5, 3)), np.zeros(0, np.int32)
+        for name in ("<", ">"):
+            self._add(("", -1, name), np.zeros((5, 3)), name)
+        self.known: dict[str, int] = {}
+        m = self.move
+        out = [{x: m[j, OUTSIDE] - m[j, x] for x in (BEGIN, INSIDE)} for j in range(4)]
+        least = {x: min(o[x] for o in out) for x in (BEGIN, INSIDE)}
+        # What the neighbours can take from outside against x: next is begin, outside or nothing; or next is inside, which then becomes begin.
+        self.plain = np.array([least[x] + min(0.0, *(m[OUTSIDE, k] - m[x, k] for k in (BEGIN, OUTSIDE))) for x in (BEGIN, INSIDE)])
+        going = min(0.0, *(m[BEGIN, k] - m[INSIDE, k] for k in LABELS))
+        self.turned = np.array([least[x] + m[OUTSIDE, BEGIN] - m[x, INSIDE] + going for x in (BEGIN, INSIDE)])
+
+    def _of(self, feature: str) -> np.ndarray:
+        return self.emit[self.index.get(feature, 0)]
+
+    def _add(self, kind: tuple[str, int, str], row: np.ndarray, name: str) -> int:
+        self.kinds[kind] = len(self.rows)
+        self.rows.append(row)
+        self.name_of.append(self.names.get(name, 0))
+        return self.kinds[kind]
+
+    def kind(self, word: str) -> int:
+        """Number of a word's kind; short words are kept for next time, up to a bound."""
+        shape, size = _shape(word), _size(word)
+        name = _name(word) if len(word) <= 64 else shape
+        known = shape if f"s{shape}" in self.index else None
+        # Kinds without a learned shape differ in size and name only, so that there are not as many as there are signs.
+        kind = (known or "", size, name if name in self.names or f"w{name}" in self.index else "")
+        number = self.kinds.get(kind)
+        if number is None:
+            own = self._of(f"l{size}") + self._of(f"w{name}")
+            if known is not None:
+                own = own + self._of(f"s{shape}") + self._of(f"m{shape},{size}")
+            files = np.stack([own + (self._of(f"f{file},{shape}") if known is not None else 0) for file in range(5)])
+            number = self._add(kind, files, name)
+        if len(word) <= 64:
+            if len(self.known) >= self.CACHED:
+                self.known.clear()
+            self.known[word] = number
+        return number
+
+    def numbers(self, text: str) -> np.ndarray:
+        """Kinds of a text's tokens; they are strings for a part of a long text only."""
+        parts, at = [np.zeros(3, np.int32)], 0
+        while at < len(text):
+            cut = BLANK.search(text, at + PART)
+            end = cut.start() if cut else len(text)
+            known, kind = self.known.get, self.kind
+            parts.append(np.array([n if (n := known(word)) is not None else kind(word) for word in TOKEN.findall(text, at, end)], np.int32))
+            at = end
+        return np.concatenate([*parts, np.array([self.END], np.int32)])
+
+    def tags(self, texts: list[str]) -> list[dict[int, int]]:
+        """Of each text the tokens, by number, that are begin or inside."""
+        numbers = [self.numbers(text) for text in texts]
+        if len(self.table) < len(self.rows):
+            self.table, self.name_table = np.stack(self.rows), np.array(self.name_of, np.int32)
+        files = [_file(sum(1 for _ in itertools.islice(_cues(text), MANY_CUES))) for text in texts]
+        found, group, size = [], [], 0
+        for number, file in zip(numbers, files, strict=True):
+            group.append((number, file))
+            size += len(number)
+            if size >= TOKENS_AT_ONCE:
+                found += self._tags(group)
+                group, size = [], 0
+        return found + self._tags(group) if group else found
+
+    def _tags(self, group: list[tuple[np.ndarray, int]]) -> list[dict[int, int]]:
+        kinds = np.concatenate([number for number, _ in group])
+        file = np.repeat(np.array([file for _, file in group], np.int8), [len(number) for number, _ in group])
+        ends = np.cumsum([len(number) for number, _ in group])
+        real = np.ones(len(kinds), bool)
+        real[ends - 1] = False
+        for k in range(3):
+            real[np.concatenate([[0], ends[:-1]]) + k] = False
+        open_places = [np.zeros(0, np.int64)]
+        for at in range(0, len(kinds), TOKENS_AT_ONCE):
+            # One place more than is decided, as the next token counts.
+            stop = min(at + TOKENS_AT_ONCE, len(kinds))
+            emit = self._emit(kinds, file, at, min(stop + 1, len(kinds)))
+            lead = emit[:, OUTSIDE, None] - emit[:, [BEGIN, INSIDE]]
+            after = np.append(emit[1:, BEGIN] - emit[1:, INSIDE], 0.0)
+            sure = np.minimum((lead + self.plain).min(axis=1), (lead + self.turned).min(axis=1) + after) > 1e-6
+            open_places.append(at + np.flatnonzero(~sure[: stop - at] & real[at:stop]))
+        places = np.concatenate(open_places)
+        out: list[dict[int, int]] = [{} for _ in group]
+        if len(places) == 0:
+            return out
+        text_of = np.searchsorted(ends, places, "right")
+        breaks = np.flatnonzero((np.diff(places) > 1) | (np.diff(text_of) > 0)) + 1
+        for run in np.split(np.arange(len(places)), breaks):
+            first, last, text = int(places[run[0]]), int(places[run[-1]]), int(text_of[run[0]])
+            begins = first - 3 == (ends[text - 1] if text else 0)
+            ended = last + 2 == ends[text]
+            for n, tag in enumerate(self._best(kinds, file, first, last + 1, begins, ended)):
+                if tag != OUTSIDE:
+                    out[text][first + n - 3 - int(ends[text - 1] if text else 0)] = tag
+        return out
+
+    def _emit(self, kinds: np.ndarray, file: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Summed weights of the places from a to b; those of the three before and of the one behind a text mean nothing."""
+        names = self.name_table[np.concatenate([np.zeros(max(0, 3 - a), np.int32), kinds[max(0, a - 3) : b + 1], np.ones(max(0, b + 1 - len(kinds)), np.int32)])]
+        n = b - a
+        before, back, further, after = names[2 : 2 + n], names[1 : 1 + n], names[:n], names[4 : 4 + n]
+        emit = self.table[kinds[a:b], file[a:b]]
+        for weights, which in ((self.near, before), (self.back, back), (self.further, further), (self.after, after)):
+            emit += weights[which]
+        return emit + self.paired[self.pair[back, before]]
+
+    def _best(self, kinds: np.ndarray, file: np.ndarray, a: int, b: int, begins: bool, ended: bool) -> list[int]:
+        """Best labels of a part between tokens that are outside, or between an end of the text and one."""
+        move = self.move.tolist()
+        start, emit = move[3] if begins else move[OUTSIDE], self._emit(kinds, file, a, b).tolist()
+        best, back = [start[k] + emit[0][k] for k in LABELS], []
+        for own in emit[1:]:
+            froms = [max(LABELS, key=lambda j, k=k: best[j] + move[j][k]) for k in LABELS]
+            best = [best[froms[k]] + move[froms[k]][k] + own[k] for k in LABELS]
+            back.append(froms)
+        if not ended:
+            best = [best[k] + move[k][OUTSIDE] for k in LABELS]
+        tag = max(LABELS, key=best.__getitem__)
+        tags = [tag]
+        for froms in reversed(back):
+            tag = froms[tag]
+            tags.append(tag)
+        return tags[::-1]
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
@@ -308,20 +484,26 @@ def _other_secret(word: str, digest: bytes) -> str:
 
 def spans_of(text: str, field: Field | None) -> list[Span]:
     """All spans by start, then kind: pattern matches, and what the field adds where no pattern is."""
+    return spans_of_all([text], field and _Weights(field))[0]
+
+
+def spans_of_all(texts: list[str], weights: _Weights | None) -> list[list[Span]]:
+    if weights is None:
+        return [_merged(text, {}) for text in texts]
+    return [_merged(text, tags) for text, tags in zip(texts, weights.tags(texts), strict=True)]
+
+
+def _merged(text: str, tags: dict[int, int]) -> list[Span]:
+    """The pattern matches of a text and the spans that its tagged tokens make."""
     spans = [s[:3] for s in pattern_spans(text)]
-    if field is None:
-        return spans
     added = []
-    parts, cues = stretches(text)
-    for start, end in parts:
-        tokens = _tokens(text, start, end)
-        if not tokens:
-            continue
-        for (a, b), tag in zip(tokens, field.tags([text[a:b] for a, b in tokens], cues), strict=True):
-            if tag == BEGIN:
-                added.append([a, b])
-            elif tag == INSIDE:
-                added[-1][1] = b
+    # Places are only looked for in texts that have tagged tokens, and up to the last of these.
+    for number, m in enumerate(itertools.islice(TOKEN.finditer(text), max(tags) + 1 if tags else 0)):
+        tag = tags.get(number, OUTSIDE)
+        if tag == BEGIN:
+            added.append([m.start(), m.end()])
+        elif tag == INSIDE:
+            added[-1][1] = m.end()
     spans += [("crf", a, b) for one in added for a, b in _left(text, *one, spans) if b - a >= LEAST_VALUE]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -357,7 +539,7 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> Field | None:
             # A stretch is cut where a training sequence would be, so none is too long to learn from.
             rows = [
                 (words[i : i + PIECE], tags[i : i + PIECE], cues)
-                for parts in _by_slices(T.column(batch, "text"), labelled)
+                for parts in _by_slices(T.column(batch, "text"), lambda texts: map(labelled, texts))
                 for words, tags, cues in parts
                 for i in range(0, len(words), PIECE)
             ]
@@ -371,9 +553,9 @@ def train(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> Field | None:
     return fit(s for r in sorted(rows) for s in sequences(*r))
 
 
-def _by_slices(texts: pa.Array, of: Callable[[str], object]) -> list:
-    """Apply to each text, with few texts as Python strings at a time; null counts as empty."""
-    return [of(x or "") for at in range(0, len(texts), 64) for x in texts.slice(at, 64).to_pylist()]
+def _by_slices(texts: pa.Array, of: Callable[[list[str]], Iterable]) -> list:
+    """Apply to all texts, with few of them as Python strings at a time; null counts as empty."""
+    return [found for at in range(0, len(texts), 64) for found in of([x or "" for x in texts.slice(at, 64).to_pylist()])]
 
 
 def _written(spans: list[Span]) -> str:
@@ -384,8 +566,9 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every document."""
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = field and _Weights(field)
         for batch in batches:
-            found = _by_slices(T.column(batch, "text"), lambda text: spans_of(text, field))
+            found = _by_slices(T.column(batch, "text"), lambda texts: spans_of_all(texts, weights))
             counts = [pa.array([sum(s[0] == kind for s in spans) for spans in found], pa.int64()) for kind in KINDS[:3]]
             base = [hashlib.sha256(_written([s for s in spans if s[0] != "crf"]).encode()).hexdigest() for spans in found]
             yield pa.RecordBatch.from_arrays(
@@ -401,8 +584,12 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
 
 def redacted(text: str, field: Field | None) -> str:
     """The text with every secret replaced by its kind in square brackets."""
+    return _without(text, spans_of(text, field))
+
+
+def _without(text: str, spans: list[Span]) -> str:
     parts, at = [], 0
-    for kind, start, end in spans_of(text, field):
+    for kind, start, end in spans:
         if end <= at:
             continue
         parts += [text[at : max(at, start)], f"[{kind}]"]
@@ -414,9 +601,10 @@ def redact(docs: DataFrame, field: Field | None) -> DataFrame:
     """The rows with all their columns, secrets replaced in ``text`` (null stays null)."""
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = field and _Weights(field)
         for batch in batches:
             texts = T.column(batch, "text")
-            clean = _by_slices(texts, lambda text: redacted(text, field))
+            clean = _by_slices(texts, lambda some: map(_without, some, spans_of_all(some, weights)))
             clean = [c if known else None for c, known in zip(clean, texts.is_valid().to_pylist(), strict=True)]
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(clean, texts.type))
