@@ -17,6 +17,10 @@ Documents link where intersection and union satisfy 100 * |A & B| >= 80 * |A | B
    first by sketch and then on the full sets. Thus no bucket is capped, and no group emits all its
    pairs: only links leave a block, and one link between two components at most.
 
+Texts are moved only where they may be needed. A sieve marks the rows asked for by a hash in a broadcast of at most
+``SLOTS`` rows; rows that miss it stay where they are read, all others are joined by their exact keys. Members of buckets
+that nobody shares are left out after one count of narrow rows, and both searches for links read the stored rest.
+
 Full sets are recomputed from texts where they are compared, never collected. Null and empty texts and
 texts without words have an empty set and link with nothing. Rows are documents: each has its own set, also where rows
 repeat a doc_id, and rows with a null doc_id link like others. A component is named by its smallest doc_id, which is null only
@@ -45,6 +49,8 @@ COORDINATES, BANDS = 128, 32
 BLOCK, GUESTS = 256, 4096
 # Six standard deviations of a 128-coordinate estimate below the similarity of 0.8.
 LEAST_AGREEMENT = 76
+# Slots of a sieve, with 64 marks each; a table that fills them only moves more texts.
+SLOTS = 1 << 18
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -146,10 +152,27 @@ def _text_key() -> Column:
     return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
 
 
+def _slot_and_mark(doc_id: str, key: str) -> tuple[Column, Column]:
+    place = F.xxhash64(doc_id, key)
+    bit = F.pmod(F.shiftright(place, 32), F.lit(64)).cast("int")
+    return F.pmod(place, F.lit(SLOTS)), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+
+
+def _sifted(rows: DataFrame, by: tuple[str, str], asked: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where no row of ``asked`` has the same doc_id, null or not, and key."""
+    slot, mark = _slot_and_mark(*names)
+    sieve = asked.select(slot.alias("_slot"), mark.alias("_mark")).groupBy("_slot").agg(F.bit_or("_mark").alias("_marks"))
+    slot, mark = _slot_and_mark(*by)
+    found = rows.withColumn("_at", slot).join(F.broadcast(sieve), F.col("_at") == F.col("_slot"), "left")
+    maybe = F.coalesce(F.col("_marks").bitwiseAND(mark) != 0, F.lit(False))
+    return found.withColumn("_maybe", maybe).drop("_at", "_slot", "_marks")
+
+
 def _texts_of(some: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(rep, text) of some nodes: one text of each, however many rows repeat it."""
     rows = nodes.join(some, "rep", "left_semi").select("rep", F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key"))
-    found = _keyed(docs).join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+    likely = _sifted(_keyed(docs), ("doc_id", "key"), rows, ("_id", "_key")).filter("_maybe").drop("_maybe")
+    found = likely.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
     return found.groupBy("rep").agg(F.first("text").alias("text"))
 
 
@@ -165,11 +188,18 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 _SIZES_FIT = "100 * least(n, m) >= 80 * greatest(n, m)"
 
 
-def _star_pairs(bands: DataFrame) -> DataFrame:
+def _shared(nodes: DataFrame) -> DataFrame:
+    """(band, key, size, rep, n) of the members of buckets with two members or more."""
+    bands = nodes.select("rep", "n", F.posexplode("sketch").alias("band", "key"))
+    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
+    return bands.join(sizes, ["band", "key"]).select("band", "key", "size", "rep", "n")
+
+
+def _star_pairs(shared: DataFrame) -> DataFrame:
     """Every member of a bucket with the bucket's smallest member."""
-    heads = bands.groupBy("band", "key").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("size"))
-    heads = heads.filter("size > 1").select("band", "key", F.col("head.rep").alias("a"), F.col("head.n").alias("m"))
-    pairs = bands.join(heads, ["band", "key"]).filter(f"rep > a and {_SIZES_FIT}")
+    heads = shared.groupBy("band", "key").agg(F.min(F.struct("rep", "n")).alias("head"))
+    heads = heads.select("band", "key", F.col("head.rep").alias("a"), F.col("head.n").alias("m"))
+    pairs = shared.join(heads, ["band", "key"]).filter(f"rep > a and {_SIZES_FIT}")
     return pairs.select("a", F.col("rep").alias("b")).distinct()
 
 
@@ -230,22 +260,21 @@ def _found_in(some: np.ndarray, others: np.ndarray) -> np.ndarray:
     return others[at] == some
 
 
-def _rest_links(nodes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between components within the buckets that hold several of them."""
     rooted = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
-    bands = rooted.select("rep", "root", F.posexplode("sketch").alias("band", "key"))
-    open_buckets = bands.groupBy("band", "key").agg(
-        F.min("root").alias("_least"), F.max("root").alias("_most"), F.count("*").alias("size")
-    )
     # The pair in a bucket of two has been compared already.
-    open_buckets = open_buckets.filter("_least < _most and size > 2").select("band", "key", "size")
-    inside = scratch.stored(bands.join(open_buckets, ["band", "key"]).select("band", "key", "size", "rep"), "open")
+    bands = shared.filter("size > 2").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    bands = bands.withColumn("root", F.coalesce("root", "rep"))
+    open_buckets = bands.groupBy("band", "key").agg(F.min("root").alias("_least"), F.max("root").alias("_most"))
+    open_buckets = open_buckets.filter("_least < _most").select("band", "key")
+    inside = scratch.stored(bands.join(open_buckets, ["band", "key"]).select("band", "key", "size", "rep"), "open", shared.count())
     # Everyone's home is the largest of the own buckets, dealt into blocks of bounded size.
     home = inside.groupBy("rep").agg(F.max(F.struct("size", "band", "key")).alias("home"))
     share = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("home.size") / BLOCK))
     home = home.select("rep", F.xxhash64("home.band", "home.key", share).alias("block"))
-    homes = scratch.stored(home, "homes")
+    homes = scratch.stored(home, "homes", inside.count())
     # Blocks that share a bucket meet: the members of the smaller one are guests of the larger.
     order = homes.groupBy("block").agg(F.count("*").alias("n")).select("block", F.struct("n", "block").alias("order"))
     blocks = inside.join(homes, "rep").select("band", "key", "block").distinct().join(order, "block")
@@ -274,18 +303,20 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = known.filter("n_shingles > 0").groupBy(F.col("digest").alias("rep")).agg(
         F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("n_rows")
     )
-    nodes = scratch.stored(nodes, "classes")
-    bands = nodes.select("rep", "n", F.posexplode("sketch").alias("band", "key"))
-    first = scratch.stored(_verified(_star_pairs(bands), nodes, docs), "links")
-    roots = components(first)
-    more = scratch.stored(_rest_links(nodes, roots, docs), "links")
-    if not more.isEmpty():
-        roots = components(first.unionByName(more))
+    nodes = scratch.stored(nodes, "classes", known.count())
+    shared = scratch.stored(_shared(nodes), "shared")
+    pairs = scratch.stored(_star_pairs(shared), "pairs", shared.count())
+    roots = components(_verified(pairs, nodes, docs), pairs.count())
+    more = scratch.stored(_rest_links(shared, nodes, roots, docs), "links")
+    if found := more.count():
+        # A component's star stands for its links.
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(stars.unionByName(more), stars.count() + found)
     rooted = nodes.select("rep", "row", "n_rows").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
     firsts = rooted.groupBy("root").agg(F.min("row").alias("first"))
     classes = rooted.join(firsts, "root").select(F.col("rep").alias("digest"), "n_rows", "first", F.col("first.doc_id").alias("component_id"))
-    return known.select("doc_id", "key", "n_shingles", "digest"), scratch.stored(classes, "components")
+    return known.select("doc_id", "key", "n_shingles", "digest"), scratch.stored(classes, "components", nodes.count())
 
 
 def group_documents(docs: DataFrame) -> DataFrame:
@@ -307,10 +338,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     # Rows that go, and rows of which one copy stays; all others pass untouched.
     decided = counts.join(classes, "digest").select(F.col("doc_id").alias("_of"), F.col("key").alias("_with"), stays.alias("_stays"), "n")
-    decided = scratch.stored(decided.filter(~F.col("_stays") | (F.col("n") > 1)), "decided")
+    decided = scratch.stored(decided.filter(~F.col("_stays") | (F.col("n") > 1)), "decided", known.count())
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["doc_id"].cast("bigint").alias("_id"), _text_key().alias("_key"))
+    sifted = _sifted(whole, ("_id", "_key"), decided, ("_of", "_with"))
+    asked = sifted.filter("_maybe")
     same = F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_with"))
-    passing = whole.join(decided.select("_of", "_with"), same, "left_anti").select("_row")
-    repeated = whole.join(decided.filter("_stays").select("_of", "_with"), same, "left_semi")
+    passing = sifted.filter("not _maybe").select("_row")
+    passing = passing.unionByName(asked.join(decided.select("_of", "_with"), same, "left_anti").select("_row"))
+    repeated = asked.join(decided.filter("_stays").select("_of", "_with"), same, "left_semi")
     one_each = repeated.groupBy("_id", "_key").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row")
     return passing.unionByName(one_each).select("_row.*")

@@ -14,6 +14,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Of tables whose size is known before they are stored.
+ROWS_OF_A_FILE = 10_000
+
 
 def _root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -48,9 +51,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write the rows as Parquet to the shared folder; two readers then share one computation."""
+def stored(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """Write the rows as Parquet to the shared folder; two readers then share one computation.
+
+    ``rows`` is about how many there are at most, where that is known: a small table then has few files, however many
+    shuffle partitions there are. Where files are local, Hadoop starts a process for each one that it makes, and while
+    that starts it counts as much memory as the executor itself.
+    """
     path = folder(df.sparkSession, purpose)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_OF_A_FILE)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
